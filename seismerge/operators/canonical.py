@@ -61,7 +61,11 @@ def map_canonical(raw: DataFrame, strict: bool = True) -> DataFrame:
             .otherwise(F.raise_error(F.concat(F.lit("unknown source: "), F.coalesce(src, F.lit("NULL")))))
     # Field names resolve case-insensitively, so USGS ``magType`` (EMSC has
     # ``magtype``) is read by path instead of through the schema.
-    df = raw.withColumn("source", src).withColumn("_p", F.from_json("payload", PAYLOAD_SCHEMA))
+    # Parsed once per row: a one-element explode makes the record a generator
+    # output, which later projections reference instead of re-parsing JSON
+    # for every field they read.
+    df = raw.withColumn("source", src) \
+        .select("*", F.explode(F.array(F.from_json("payload", PAYLOAD_SCHEMA))).alias("_p"))
     lat = _by_source(to_double_or_null(p["latitude"]), to_double_or_null(p["latitude"]),
                      to_double_or_null(props["lat"]), to_double_or_null(F.try_element_at(coords, F.lit(2))))
     lon = _by_source(to_double_or_null(p["longitude"]), to_double_or_null(p["longitude"]),

@@ -18,11 +18,13 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "seismerge", extra: dict | None = None) -> SparkSession:
+              app_name: str = "seismerge", extra: dict | None = None,
+              driver_memory: str | None = "16g") -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
     On a cluster ``master`` stays None and the launcher decides; tests pass
@@ -34,6 +36,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local") and driver_memory:
+        # Local mode runs every task in the driver JVM.
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -106,8 +106,10 @@ def parse_koeri_responses(responses: DataFrame) -> DataFrame:
     ``KOERI-<date>T<time>-<lat:.3f>-<lon:.3f>``."""
     r = responses.where(F.col("source") == "KOERI") \
         .select(*_META, decode_latin5(F.col("content")).alias("text"))
-    lines = r.select(*_META, F.posexplode(koeri_records(F.col("text"))).alias("ordinal", "line"))
-    rec = lines.select(*_META, "ordinal", F.struct(*_koeri_fields(F.col("line"))).alias("rec"))
+    # The generator emits whole records: its output is a plain column, so the
+    # optimizer cannot inline the per-field regex work into every later use.
+    recs = F.transform(koeri_records(F.col("text")), lambda ln: F.struct(*_koeri_fields(ln)))
+    rec = r.select(*_META, F.posexplode(recs).alias("ordinal", "rec"))
     eid = F.format_string("KOERI-%sT%s-%s-%s", F.col("rec.date"), F.col("rec.time"),
                           py_fixed(F.col("rec.latitude"), 3), py_fixed(F.col("rec.longitude"), 3))
     return rec.select("source", eid.alias("event_id"),
