@@ -11,20 +11,20 @@ Plan (see README "Clustering at scale"):
    over the small bucket table (two levels, so the one un-partitioned window
    runs over one row per block of 1024 buckets). No global sort of reports.
 2. ``assign_clusters`` (C1, C3-C5, J1): the order-dependent greedy walk runs
-   per session in ``applyInPandas``, fed as an iterator of Arrow batches in
-   (time, priority, source, id) order, keeping only open clusters as running
-   sums, so memory is bounded by the open clusters, not the session.
+   in ``mapInPandas`` over session-partitioned, sorted input: Arrow batches
+   in (session, time, priority, source, id) order, keeping only open
+   clusters as running sums, so memory is bounded by the open clusters, not
+   the session or the partition.
 3. ``build_facts`` (C6-C10, P13): native aggregation per (cluster, source) and
-   per cluster. The fold's output is hash-partitioned by session and both
-   groupings contain the session key, so they reuse that partitioning: no
-   extra shuffle after the fold.
+   per cluster, both on one hash partitioning by (session, cluster_seq), so
+   one shuffle after the fold.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from typing import Any, Iterator, Tuple
+from typing import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -40,13 +40,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCAN_MODES = ("creation_break", "window")
 BUCKETS_PER_BLOCK = 1024
 
-ASSIGNMENT_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType()),
-    T.StructField("event_id", T.StringType()),
-    T.StructField("session", T.LongType()),
-    T.StructField("cluster_seq", T.IntegerType()),
-    T.StructField("member_ord", T.IntegerType()),
-])
+# Columns the fold reads, and the member columns it passes through so no
+# join back to the reports is needed.
+FOLD_INPUT = ["session", "us", "prio", "source", "event_id", "latitude", "longitude", "magnitude"]
+PASS_THROUGH = ["event_time", "depth_km", "mag_type", "place", "province", "district"]
 
 
 def _window_us(dt_window_s: float) -> int:
@@ -105,9 +102,9 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
     w_us = _window_us(dt_window_s)
     break_mode = scan == "creation_break"
 
-    def fold(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        session = int(key[0])
-        # Open clusters in creation order, as parallel lists.
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # One partition: sessions one after another, each in walk order.
+        session = None
         seq, tmax, slat, slon, cnt, smag, nmag = [], [], [], [], [], [], []
         next_seq = 0
         ordinal = 0
@@ -115,11 +112,17 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
             n = len(pdf)
             out_seq = [0] * n
             out_ord = [0] * n
+            ses_l = pdf["session"].tolist()
             us_l = pdf["us"].tolist()
             lat_l = pdf["latitude"].tolist()
             lon_l = pdf["longitude"].tolist()
             mag_l = pdf["magnitude"].tolist()
             for i in range(n):
+                if ses_l[i] != session:
+                    session = ses_l[i]
+                    seq, tmax, slat, slon, cnt, smag, nmag = [], [], [], [], [], [], []
+                    next_seq = 0
+                    ordinal = 0
                 t, lat, lon, mag = us_l[i], lat_l[i], lon_l[i], mag_l[i]
                 if mag is not None and mag != mag:  # NaN from Arrow means null
                     mag = None
@@ -165,27 +168,33 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
                     if len(keep) < len(seq):
                         for lst in (seq, tmax, slat, slon, cnt, smag, nmag):
                             lst[:] = [lst[k] for k in keep]
-            yield pd.DataFrame({
-                "source": pdf["source"].values, "event_id": pdf["event_id"].values,
-                "session": session, "cluster_seq": out_seq, "member_ord": out_ord,
-            })
+            yield pdf.assign(cluster_seq=out_seq, member_ord=out_ord)
     return fold
 
 
 def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
                     dist_km: float = DIST_KM_WINDOW, dm: float = DM_WINDOW,
                     scan: str = "creation_break", num_partitions: int | None = None) -> DataFrame:
-    """Run the fold per session. Input: ``time_sessions`` output. Output:
-    the input columns plus ``prio``, ``cluster_seq`` and ``ordinal``."""
+    """Run the fold. Input: ``time_sessions`` output. Output: one row per
+    report with ``prio``, ``cluster_seq`` (creation order inside the
+    session) and ``member_ord`` (walk order inside the session).
+
+    Sessions are hash-partitioned and each partition is sorted by (session,
+    walk order); ``mapInPandas`` then streams the partition through the fold
+    in Arrow batches, resetting at each session boundary. No per-group
+    pandas frame is built, so many small sessions cost nothing extra and one
+    huge session needs only its open clusters in memory.
+    """
     r = sessions.withColumn("prio", source_priority("source"))
     part = [num_partitions] if num_partitions else []
-    ordered = (r.select("session", "us", "prio", "source", "event_id", "latitude", "longitude",
-                        "magnitude")
+    cols = FOLD_INPUT + [c for c in PASS_THROUGH if c in r.columns]
+    ordered = (r.select(*cols)
                .repartition(*part, "session")
                .sortWithinPartitions("session", "us", "prio", "source", "event_id"))
-    fold = make_fold(dt_window_s, dist_km, dm, scan)
-    assigned = ordered.groupBy("session").applyInPandas(fold, ASSIGNMENT_SCHEMA)
-    return r.join(assigned, ["source", "event_id", "session"])
+    schema = T.StructType([ordered.schema[c] for c in cols] + [
+        T.StructField("cluster_seq", T.IntegerType()),
+        T.StructField("member_ord", T.IntegerType())])
+    return ordered.mapInPandas(make_fold(dt_window_s, dist_km, dm, scan), schema)
 
 
 def build_facts(assigned: DataFrame, as_of=None, dt_window_s: float = DT_WINDOW_S) -> DataFrame:
@@ -193,6 +202,8 @@ def build_facts(assigned: DataFrame, as_of=None, dt_window_s: float = DT_WINDOW_
 
     ``creation`` is (session, cluster_seq): the order clusters were created.
     """
+    # One shuffle on the cluster key; both groupings below reuse it.
+    assigned = assigned.repartition("session", "cluster_seq")
     member = F.struct("event_id", "event_time", "latitude", "longitude", "depth_km", "magnitude",
                       "mag_type", "place", "province", "district", "us", "member_ord", "prio")
     sv = F.struct(F.col("event_id"), F.col("magnitude"), F.col("mag_type"), F.col("depth_km"),

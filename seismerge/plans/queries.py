@@ -18,7 +18,7 @@ from ..operators.cluster import (assign_clusters, build_facts, cluster_members,
 from ..sources.documents import to_documents
 from ..sources.parse import parse_json_responses, parse_koeri_responses, parse_responses
 from ..sources.testdata import fixture_responses, read_table
-from . import oracle as O
+from . import oracle as O, store
 from .pipeline import fixture_as_of
 from .views import disagreement, drilldown, latest_events
 
@@ -36,16 +36,22 @@ def ntz(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
-# --- shared stages (each query builds its own lazy plan) --------------------
+# --- layers: built once per session, then read as tables (plans/store.py) --
 
 def _bronze(spark, sf):
-    raw, _ = parse_responses(fixture_responses(spark, sf))
-    return raw
+    """Raw rows (S2-S5) parsed from the agencies' responses."""
+    def build():
+        raw, _ = parse_responses(fixture_responses(spark, sf))
+        return raw
+    return store.table(spark, sf, "bronze", build, partition_by=["source"])
 
 
 def _mapped(spark, sf):
     """Canonical rows + received_at/archive_uri/ordinal carried from raw."""
-    return harmonize(_bronze(spark, sf), as_of=fixture_as_of(spark, sf))
+    def build():
+        return store.with_day(harmonize(_bronze(spark, sf), as_of=fixture_as_of(spark, sf)))
+    return store.table(spark, sf, "mapped", build, partition_by=["day"],
+                       sort_by=["event_time"]).drop("day")
 
 
 def _silver(spark, sf):
@@ -54,11 +60,15 @@ def _silver(spark, sf):
 
 
 def _assigned(spark, sf, scan="creation_break"):
-    return assign_clusters(time_sessions(_silver(spark, sf)), scan=scan)
+    """Clustered members (C1): one row per report with its cluster."""
+    return store.table(spark, sf, f"assigned_{scan}",
+                       lambda: assign_clusters(time_sessions(_silver(spark, sf)), scan=scan))
 
 
 def _facts(spark, sf):
-    return unique_uid(build_facts(_assigned(spark, sf), as_of=fixture_as_of(spark, sf)))
+    """Gold fact rows."""
+    return store.table(spark, sf, "facts", lambda: unique_uid(
+        build_facts(_assigned(spark, sf), as_of=fixture_as_of(spark, sf))))
 
 
 AS_OF_SQL = "(SELECT max(ts) FROM events)"
