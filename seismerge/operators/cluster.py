@@ -56,7 +56,11 @@ def time_sessions(reports: DataFrame, dt_window_s: float = DT_WINDOW_S) -> DataF
     w_us = _window_us(dt_window_s)
     r = reports.withColumn("us", epoch_us("event_time")) \
         .withColumn("bucket", floor_div(F.col("us"), w_us))
-    buckets = r.groupBy("bucket").agg(F.min("us").alias("min_us"), F.max("us").alias("max_us"))
+    # One row per non-empty bucket (bounded by time span / window, not by
+    # data volume). Cached: the steps below read it several times, and it
+    # must not rescan the reports each time.
+    buckets = r.groupBy("bucket").agg(F.min("us").alias("min_us"), F.max("us").alias("max_us")) \
+        .cache()
     prev = buckets.select((F.col("bucket") + 1).alias("bucket"), F.col("max_us").alias("prev_max"))
     starts = (buckets.join(prev, "bucket", "left")
               .select("bucket",

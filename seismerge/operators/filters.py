@@ -49,7 +49,12 @@ def lookback_filter(df: DataFrame, col: str, as_of, hours: float, inclusive: boo
     """``col > as_of - interval`` (``>=`` for the dedupe window)."""
     a = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     since = a - F.make_dt_interval(secs=F.lit(int(hours * 3600)))
-    return df.where(F.col(col) >= since if inclusive else F.col(col) > since)
+    out = df.where(F.col(col) >= since if inclusive else F.col(col) > since)
+    if "day" in df.columns and not isinstance(as_of, Column):
+        # Day-partitioned tables: the same bound on the partition column, so
+        # whole day folders are pruned before any file is opened.
+        out = out.where(F.col("day") >= F.to_date(since))
+    return out
 
 
 def date_chunks(df: DataFrame, start_col: str, end_col: str, days: int) -> DataFrame:

@@ -55,8 +55,12 @@ def _mapped(spark, sf):
 
 
 def _silver(spark, sf):
-    good, _ = Q.quarantine_harmonized(_mapped(spark, sf))
-    return good
+    """Harmonized rows that pass the NOT NULL / domain checks (Q1, Q2)."""
+    def build():
+        good, _ = Q.quarantine_harmonized(_mapped(spark, sf))
+        return store.with_day(good)
+    return store.table(spark, sf, "silver", build, partition_by=["day"],
+                       sort_by=["event_time"]).drop("day")
 
 
 def _assigned(spark, sf, scan="creation_break"):
