@@ -83,19 +83,21 @@ def koeri_records(text: Column) -> Column:
 
 
 def _koeri_fields(line: Column) -> list[Column]:
-    g = lambda i: F.regexp_extract(line, _KOERI_LINE, i)
-    rest = F.regexp_replace(g(9), r"(?U)^\s+|\s+$", "")
+    """Fields of a line that already matched the full line pattern: its
+    first eight fields hold no blanks, so one split on blank runs (limit 9)
+    yields exactly the pattern's groups, the remainder in the last one."""
+    tok = F.split(F.regexp_replace(line, r"(?U)^\s+", ""), r"(?U)\s+", 9)
+    g = lambda i: F.element_at(tok, i)
+    rest = F.regexp_replace(g(9), r"(?U)\s+$", "")
     tail = F.regexp_extract(rest, r"(?U)^(.*\S)\s+(\S+)$", 2)
     head = F.regexp_extract(rest, r"(?U)^(.*\S)\s+(\S+)$", 1)
     is_tag = (tail != "") & F.lower(tail).isin(*KOERI_QUALITY_WORDS)
     mag = lambda t: F.when(t == "-.-", None).otherwise(to_double_or_null(t))
-    lat = g(3).cast("double")
-    lon = g(4).cast("double")
     date = F.replace(g(1), F.lit("."), F.lit("-"))
     return [
-        date.alias("date"), g(2).alias("time"), lat.alias("latitude"), lon.alias("longitude"),
-        g(5).cast("double").alias("depth_km"), mag(g(6)).alias("md"), mag(g(7)).alias("ml"),
-        mag(g(8)).alias("mw"),
+        date.alias("date"), g(2).alias("time"), g(3).cast("double").alias("latitude"),
+        g(4).cast("double").alias("longitude"), g(5).cast("double").alias("depth_km"),
+        mag(g(6)).alias("md"), mag(g(7)).alias("ml"), mag(g(8)).alias("mw"),
         F.when(is_tag, F.regexp_replace(head, r"(?U)^\s+|\s+$", "")).otherwise(rest).alias("place"),
         F.when(is_tag, tail).alias("quality"),
     ]
