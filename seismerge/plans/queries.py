@@ -16,7 +16,8 @@ from ..operators.canonical import harmonize, CANONICAL_COLS
 from ..operators.cluster import (assign_clusters, build_facts, cluster_members, time_sessions,
                                  unique_uid)
 from ..sources.documents import to_documents
-from ..sources.parse import parse_json_responses, parse_koeri_responses, parse_responses
+from ..sources.parse import (json_split_evaluate, parse_json_responses, parse_koeri_responses,
+                             parse_responses)
 from ..sources.testdata import fixture_responses, read_table
 from . import oracle as O, store
 from .pipeline import fixture_as_of
@@ -139,6 +140,33 @@ def q_koeri_pages(spark, sf):
                                               "event_id")
 
 
+@register("json_split_evaluate", R + """SELECT source, archive_uri, CASE WHEN source = 'EMSC' AND eid % 7 = 0
+  THEN '' WHEN source = 'AFAD' THEN CAST(eid AS VARCHAR) ELSE event_id END AS id
+  FROM raw_meta WHERE source IN ('EMSC', 'USGS') OR (source = 'AFAD' AND (eid // 256) % 2 = 0)""")
+def q_json_split(spark, sf):
+    """The flow's split + evaluate: GeoJSON feeds by ``$.features`` / ``$.id``,
+    AFAD list responses by ``$`` / ``$.eventID``."""
+    resp = fixture_responses(spark, sf).withColumn("text", F.decode("content", "UTF-8")).drop("content")
+    geo = json_split_evaluate(resp.where(F.col("source").isin("EMSC", "USGS")), "$.features", "$.id")
+    afad = json_split_evaluate(resp.where(F.col("source") == "AFAD"), "$", "$.eventID")
+    return geo.unionByName(afad).select("source", "archive_uri", "id")
+
+
+@register("harmonize_increment", R + """SELECT r.source, r.event_id, r.event_time FROM raw_meta r
+  JOIN (SELECT source, max(received_at) - INTERVAL 1 DAY AS cursor FROM raw_meta GROUP BY source) c
+  USING (source) WHERE r.received_at > c.cursor""")
+def q_harmonize_increment(spark, sf):
+    """T2 in batch form: per source, raw rows received after the source's
+    cursor (here one day before its newest row), all of them (no LIMIT),
+    mapped to canonical rows."""
+    raw = _bronze(spark, sf)
+    cursors = raw.groupBy("source").agg(
+        (F.max("received_at") - F.expr("INTERVAL 1 DAY")).alias("cursor"))
+    new = raw.join(cursors, "source").where(F.col("received_at") > F.col("cursor")).drop("cursor")
+    return harmonize(new, as_of=fixture_as_of(spark, sf)).select(
+        "source", "event_id", ntz("event_time").alias("event_time"))
+
+
 # --- C1-C10 ------------------------------------------------------------------
 
 @register("time_sessions", RS + """SELECT source, event_id,

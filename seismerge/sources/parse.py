@@ -56,6 +56,20 @@ def _json_event_id(source: Column, item: Column) -> Column:
             .when(source == "USGS", F.nullif(fid, F.lit(""))))
 
 
+def json_split_evaluate(responses: DataFrame, split_path: str, id_path: str,
+                        text_col: str = "text") -> DataFrame:
+    """Split each JSON document at ``split_path`` (a JSONPath naming an
+    array, e.g. ``$.features``; ``$`` for a top-level array) and extract an
+    attribute by JSONPath from each element: one row per element with the
+    element text as ``payload`` and the attribute (null if absent) as ``id``.
+    """
+    arr = F.from_json(F.get_json_object(F.col(text_col), split_path), "array<string>")
+    keep = [c for c in responses.columns if c != text_col]
+    return (responses.select(*keep, F.posexplode(F.coalesce(arr, F.array().cast("array<string>")))
+                             .alias("ordinal", "payload"))
+            .withColumn("id", F.get_json_object("payload", id_path)))
+
+
 def parse_json_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(raw rows, quarantined responses) for the JSON agencies."""
     r = responses.where(F.col("source").isin(*JSON_SOURCES)) \
