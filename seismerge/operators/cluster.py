@@ -42,8 +42,11 @@ BUCKETS_PER_BLOCK = 1024
 
 # Columns the fold reads, and the member columns it passes through so no
 # join back to the reports is needed.
-FOLD_INPUT = ["session", "us", "prio", "source", "event_id", "latitude", "longitude", "magnitude"]
-PASS_THROUGH = ["event_time", "depth_km", "mag_type", "place", "province", "district"]
+FOLD_INPUT = ["block", "us", "prio", "source", "event_id", "latitude", "longitude", "magnitude"]
+PASS_THROUGH = ["session", "event_time", "depth_km", "mag_type", "place", "province", "district"]
+
+# Block ids: session * 2^20 + spatial component (0 when not split).
+_BLOCK_SHIFT = 1 << 20
 
 
 def _window_us(dt_window_s: float) -> int:
@@ -107,7 +110,7 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
     break_mode = scan == "creation_break"
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One partition: sessions one after another, each in walk order.
+        # One partition: blocks one after another, each in walk order.
         session = None
         seq, tmax, slat, slon, cnt, smag, nmag = [], [], [], [], [], [], []
         next_seq = 0
@@ -116,7 +119,7 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
             n = len(pdf)
             out_seq = [0] * n
             out_ord = [0] * n
-            ses_l = pdf["session"].tolist()
+            ses_l = pdf["block"].tolist()
             us_l = pdf["us"].tolist()
             lat_l = pdf["latitude"].tolist()
             lon_l = pdf["longitude"].tolist()
@@ -176,25 +179,109 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
     return fold
 
 
+def _cell_components(dt_link_km: float):
+    """mapInPandas body: union-find over the occupied grid cells of each
+    session (8-neighbourhood, longitude wraps). Input sorted by (session,
+    i, j); a session's cells are buffered until the next session starts,
+    so memory is bounded by the grid, not by the data."""
+    def run(batches):
+        def flush(ses, cells, nj):
+            idx = {c: k for k, c in enumerate(cells)}
+            parent = list(range(len(cells)))
+
+            def find(a):
+                while parent[a] != a:
+                    parent[a] = parent[parent[a]]
+                    a = parent[a]
+                return a
+            for k, (ci, cj) in enumerate(cells):
+                for di in (-1, 0, 1):
+                    for dj in (-1, 0, 1):
+                        o = idx.get((ci + di, (cj + dj) % nj))
+                        if o is not None:
+                            ra, rb = find(k), find(o)
+                            if ra != rb:
+                                parent[max(ra, rb)] = min(ra, rb)
+            comp = {}
+            for k, (ci, cj) in enumerate(cells):
+                r = find(k)
+                comp[r] = min(comp.get(r, 1 << 40), ci * nj + cj)
+            return pd.DataFrame({"session": [ses] * len(cells), "i": [c[0] for c in cells],
+                                 "j": [c[1] for c in cells],
+                                 "comp": [comp[find(k)] for k in range(len(cells))]})
+        cur, cells, nj = None, [], 1
+        for pdf in batches:
+            for ses, ci, cj, n in zip(pdf["session"].tolist(), pdf["i"].tolist(),
+                                      pdf["j"].tolist(), pdf["nj"].tolist()):
+                if ses != cur and cells:
+                    yield flush(cur, cells, nj)
+                    cells = []
+                cur, nj = ses, int(n)
+                cells.append((int(ci), int(cj)))
+        if cells:
+            yield flush(cur, cells, nj)
+    return run
+
+
+def spatial_blocks(sessions: DataFrame, link_km: float = 2 * DIST_KM_WINDOW + 10.0) -> DataFrame:
+    """Split sessions into independent blocks for ``scan="window"``.
+
+    In window mode a report only joins a cluster whose newest member is
+    within the time window, and that member is within ``2 * dist_km`` of the
+    report (both lie within ``dist_km`` of the centroid). So reports in
+    different connected components of (same session, grid cells of at least
+    ``link_km`` on each side, 8-neighbourhood) never meet. Cells are 1 degree
+    (or more) of latitude by a longitude width widened by 1/cos of the
+    highest latitude. Components are labelled per session over *occupied
+    cells* (bounded by the grid, not by the data), then joined back.
+    Near the poles or the antimeridian the planar centroid argument fails,
+    so such input keeps one block per session.
+    """
+    h = max(1.0, link_km / 111.0)
+    stats = sessions.agg(F.max(F.abs("latitude")).alias("lat_max"),
+                         F.max(F.abs("longitude")).alias("lon_max"))
+    lat_max = stats.select("lat_max").scalar()
+    lon_max = stats.select("lon_max").scalar()
+    ok = (lat_max <= 80.0) & (lon_max <= 179.0)
+    w = F.lit(h) / F.cos(F.radians(F.least(F.lit(88.0), lat_max + h)))
+    with_cells = sessions.withColumn("i", F.floor((F.col("latitude") + 90.0) / h).cast("int")) \
+        .withColumn("j", F.floor((F.col("longitude") + 180.0) / w).cast("int")) \
+        .withColumn("nj", F.ceil(F.lit(360.0) / w).cast("int"))
+    occupied = (with_cells.select("session", "i", "j", "nj").distinct()
+                .repartition("session").sortWithinPartitions("session", "i", "j"))
+    comps = occupied.mapInPandas(_cell_components(link_km),
+                                 "session long, i int, j int, comp long")
+    out = with_cells.join(comps, ["session", "i", "j"], "left")
+    block = F.when(ok, F.col("session") * _BLOCK_SHIFT + F.col("comp")) \
+        .otherwise(F.col("session") * _BLOCK_SHIFT)
+    return out.withColumn("block", block).drop("i", "j", "nj", "comp")
+
+
 def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
                     dist_km: float = DIST_KM_WINDOW, dm: float = DM_WINDOW,
-                    scan: str = "creation_break", num_partitions: int | None = None) -> DataFrame:
+                    scan: str = "creation_break", num_partitions: int | None = None,
+                    spatial_split: bool = True) -> DataFrame:
     """Run the fold. Input: ``time_sessions`` output. Output: one row per
-    report with ``prio``, ``cluster_seq`` (creation order inside the
-    session) and ``member_ord`` (walk order inside the session).
-
-    Sessions are hash-partitioned and each partition is sorted by (session,
-    walk order); ``mapInPandas`` then streams the partition through the fold
-    in Arrow batches, resetting at each session boundary. No per-group
-    pandas frame is built, so many small sessions cost nothing extra and one
-    huge session needs only its open clusters in memory.
+    report with ``block``, ``prio``, ``cluster_seq`` (creation order inside
+    the block) and ``member_ord`` (walk order inside the block).
+
+    Blocks are sessions, or for ``scan="window"`` the spatial components of
+    a session (``spatial_blocks``). They are hash-partitioned and each
+    partition is sorted by (block, walk order); ``mapInPandas`` then streams
+    the partition through the fold in Arrow batches, resetting at each block
+    boundary. No per-group pandas frame is built, so many small blocks cost
+    nothing extra and one huge block needs only its open clusters in memory.
     """
+    if scan == "window" and spatial_split:
+        sessions = spatial_blocks(sessions, 2 * dist_km + 10.0)
+    else:
+        sessions = sessions.withColumn("block", F.col("session") * _BLOCK_SHIFT)
     r = sessions.withColumn("prio", source_priority("source"))
     part = [num_partitions] if num_partitions else []
     cols = FOLD_INPUT + [c for c in PASS_THROUGH if c in r.columns]
     ordered = (r.select(*cols)
-               .repartition(*part, "session")
-               .sortWithinPartitions("session", "us", "prio", "source", "event_id"))
+               .repartition(*part, "block")
+               .sortWithinPartitions("block", "us", "prio", "source", "event_id"))
     schema = T.StructType([ordered.schema[c] for c in cols] + [
         T.StructField("cluster_seq", T.IntegerType()),
         T.StructField("member_ord", T.IntegerType())])
@@ -204,24 +291,29 @@ def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
 def build_facts(assigned: DataFrame, as_of=None, dt_window_s: float = DT_WINDOW_S) -> DataFrame:
     """C3-C10 + P13: one fact row per cluster (FACT schema + ``creation``).
 
-    ``creation`` is (session, cluster_seq): the order clusters were created.
+    ``creation`` is the walk key of the cluster's first member (session,
+    time, priority, source, id): the order clusters were created, in either
+    scan mode. ``cluster_key`` = (block, cluster_seq) joins back to members.
     """
     # One shuffle on the cluster key; both groupings below reuse it.
-    assigned = assigned.repartition("session", "cluster_seq")
+    assigned = assigned.repartition("block", "cluster_seq")
     member = F.struct("event_id", "event_time", "latitude", "longitude", "depth_km", "magnitude",
                       "mag_type", "place", "province", "district", "us", "member_ord", "prio")
     sv = F.struct(F.col("event_id"), F.col("magnitude"), F.col("mag_type"), F.col("depth_km"),
                   iso_utc("event_time").alias("event_time"), F.col("latitude"),
                   F.col("longitude"), F.col("place"))
-    per_source = assigned.groupBy("session", "cluster_seq", "source").agg(
+    walk_key = F.struct("session", "us", "prio", "source", "event_id")
+    per_source = assigned.groupBy("block", "cluster_seq", "source").agg(
         F.min("event_time").alias("t_min"),
+        F.min(walk_key).alias("first_key"),
         F.min_by(member, F.struct("us", "member_ord")).alias("first"),
         F.max_by(sv, F.col("member_ord")).alias("sv"),
     )
     updated = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     pref_key = F.struct(F.col("first.prio"), F.col("first.us"), F.col("first.member_ord"))
-    cl = per_source.groupBy("session", "cluster_seq").agg(
+    cl = per_source.groupBy("block", "cluster_seq").agg(
         F.min("t_min").alias("t_min"),
+        F.min("first_key").alias("creation"),
         F.min_by(F.struct(F.col("source"), F.col("first").alias("m")), pref_key).alias("pref"),
         F.array_sort(F.collect_list("source")).alias("sources"),
         F.map_from_entries(F.collect_list(F.struct("source", "sv"))).alias("source_values"),
@@ -239,7 +331,8 @@ def build_facts(assigned: DataFrame, as_of=None, dt_window_s: float = DT_WINDOW_
         F.col("sources"), F.col("source_values"),
         F.col("t_min").alias("first_seen_at"),
         updated.alias("updated_at"),
-        F.struct("session", "cluster_seq").alias("creation"),
+        F.col("creation"),
+        F.struct("block", "cluster_seq").alias("cluster_key"),
     )
     return facts
 
@@ -265,10 +358,10 @@ def cluster_members(assigned: DataFrame) -> DataFrame:
     """Per report: the cluster's first member as ``source:event_id`` (a
     numbering-free cluster key) and the cluster size."""
     key = F.concat_ws(":", "source", "event_id")
-    heads = assigned.groupBy("session", "cluster_seq").agg(
+    heads = assigned.groupBy("block", "cluster_seq").agg(
         F.min_by(key, F.col("member_ord")).alias("cluster_head"),
         F.count("*").alias("cluster_size"))
-    return assigned.join(heads, ["session", "cluster_seq"])
+    return assigned.join(heads, ["block", "cluster_seq"])
 
 
 def agreement_histogram(facts: DataFrame) -> DataFrame:

@@ -203,11 +203,11 @@ def q_facts(spark, sf):
   FROM members m JOIN facts_all f USING (sess, cidx)""")
 def q_report_distance(spark, sf):
     a = _assigned(spark, sf)
-    f = build_facts(a).select("event_uid", "creation", "latitude", "longitude")
-    f = f.select("event_uid", F.col("creation.session").alias("session"),
-                 F.col("creation.cluster_seq").alias("cluster_seq"),
+    f = build_facts(a).select("event_uid", "cluster_key", "latitude", "longitude")
+    f = f.select("event_uid", F.col("cluster_key.block").alias("block"),
+                 F.col("cluster_key.cluster_seq").alias("cluster_seq"),
                  F.col("latitude").alias("p_lat"), F.col("longitude").alias("p_lon"))
-    return a.join(f, ["session", "cluster_seq"]).select(
+    return a.join(f, ["block", "cluster_seq"]).select(
         "source", "event_id", "event_uid",
         F.round(haversine_km("p_lat", "p_lon", "latitude", "longitude"), 6).alias("distance_km"))
 
@@ -245,7 +245,7 @@ def q_by_province(spark, sf):
 
 
 @register("agreement_terms", FB + """SELECT CASE WHEN rk <= 4 THEN CAST(lvl AS VARCHAR) ELSE 'other' END
-  AS term, sum(n) AS n_events FROM (SELECT lvl, n, row_number() OVER (ORDER BY n DESC, lvl) AS rk
+  AS term, CAST(sum(n) AS BIGINT) AS n_events FROM (SELECT lvl, n, row_number() OVER (ORDER BY n DESC, lvl) AS rk
   FROM (SELECT len(srcs) AS lvl, count(DISTINCT event_uid) AS n FROM facts GROUP BY 1)) GROUP BY 1""")
 def q_terms(spark, sf):
     return A.agreement_terms(_facts(spark, sf)).select("term", F.col("n_events").cast("bigint"))
@@ -276,10 +276,11 @@ def q_mag_time(spark, sf):
 @register("distinct_count", FB + """SELECT count(DISTINCT f.event_uid) AS n_event_uids, count(*) AS n_rows
   FROM facts f JOIN members m USING (sess, cidx)""")
 def q_distinct(spark, sf):
+    # Members of every fact row (B5 drops clusters that lost their uid).
     a = _assigned(spark, sf)
-    f = _facts(spark, sf).select("event_uid", F.col("creation.session").alias("session"),
-                                 F.col("creation.cluster_seq").alias("cluster_seq"))
-    j = a.join(f, ["session", "cluster_seq"])
+    f = _facts(spark, sf).select("event_uid", F.col("cluster_key.block").alias("block"),
+                                 F.col("cluster_key.cluster_seq").alias("cluster_seq"))
+    j = a.join(f, ["block", "cluster_seq"])
     return j.agg(F.count_distinct("event_uid").alias("n_event_uids"), F.count("*").alias("n_rows"))
 
 
@@ -433,7 +434,7 @@ SELECT f.event_uid, CAST(len(f.srcs) AS INTEGER) AS agreement_level,
   coalesce(ex.first_seen_at, f.t_min) AS first_seen_at, {AS_OF_SQL} AS updated_at
 FROM facts f LEFT JOIN ex USING (event_uid)""")
 def q_upsert_mart(spark, sf):
-    f = _facts(spark, sf).drop("creation")
+    f = _facts(spark, sf).drop("creation", "cluster_key")
     ex = (f.where(F.col("event_time") < _split(spark, sf, 20))
           .withColumn("first_seen_at", F.col("event_time") - F.expr("INTERVAL 1 HOUR"))
           .withColumn("updated_at", _split(spark, sf, 20)))
