@@ -56,6 +56,15 @@ def archive_sink(responses: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("source", "day").parquet(path))
 
 
+def scan_archive_table(spark: SparkSession, path: str, sources: list[str] | str | None = None
+                       ) -> DataFrame:
+    """S1 over the table form of the archive: the source filter is a
+    partition filter, so other agencies' folders are never listed."""
+    srcs = selected_sources(sources) if isinstance(sources, str) or sources is None else sources
+    return (spark.read.parquet(path).where(F.col("source").isin(*srcs))
+            .select("source", "day", "archive_uri", "received_at", "content"))
+
+
 def land_files(responses: DataFrame, root: str) -> list[str]:
     """Write each response as its own file under the archive layout (what
     an external fetcher does). Test helper: it brings the bytes to the
