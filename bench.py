@@ -1,8 +1,9 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
-First the layer jobs run from the driver's tables (agency responses -> raw
--> harmonized -> clustered members -> facts, each written as a table), then
+First the layer jobs run from the driver's tables (archive of agency
+responses rendered from ``events`` -> raw -> harmonized -> clustered
+members -> facts, each written as a table), then
 the headline queries read those layers. Every step is timed and counted in
 the total; queries run fully via the ``noop`` sink (nothing is collected).
 """
@@ -22,8 +23,9 @@ from seismerge.plans.queries import REGISTRY  # noqa: E402
 from seismerge.session import get_spark  # noqa: E402
 
 # Layer builds (the batch jobs), then the queries that read the layers.
-LAYERS = [("build_bronze", Q._bronze), ("build_silver", Q._mapped),
-          ("build_clusters", Q._assigned), ("build_facts", Q._facts)]
+LAYERS = [("build_archive", Q._archive), ("build_bronze", Q._bronze),
+          ("build_silver", Q._silver), ("build_clusters", Q._assigned),
+          ("build_facts", Q._facts)]
 HEADLINE = ["harmonize", "time_sessions", "clusters", "fact_earthquakes", "by_province",
             "latest_events", "magnitude_over_time", "upsert_mart", "upsert_raw_fill",
             "quality_report"]

@@ -39,24 +39,30 @@ def ntz(c) -> Column:
 
 # --- layers: built once per session, then read as tables (plans/store.py) --
 
+def _archive(spark, sf):
+    """The response archive (S12, table form): the fixture's agency
+    responses, rendered from ``events`` once and kept as they are."""
+    return store.table(spark, sf, "archive", lambda: fixture_responses(spark, sf),
+                       partition_by=["source"])
+
+
 def _bronze(spark, sf):
-    """Raw rows (S2-S5) parsed from the agencies' responses."""
+    """Raw rows (S2-S5) parsed from the archived responses."""
     def build():
-        raw, _ = parse_responses(fixture_responses(spark, sf))
+        raw, _ = parse_responses(_archive(spark, sf))
         return raw
     return store.table(spark, sf, "bronze", build, partition_by=["source"])
 
 
 def _mapped(spark, sf):
-    """Canonical rows + received_at/archive_uri/ordinal carried from raw."""
-    def build():
-        return store.with_day(harmonize(_bronze(spark, sf), as_of=fixture_as_of(spark, sf)))
-    return store.table(spark, sf, "mapped", build, partition_by=["day"],
-                       sort_by=["event_time"]).drop("day")
+    """Canonical rows + received_at/archive_uri/ordinal carried from raw
+    (lazy: read from the bronze table; only the upsert checks use it)."""
+    return harmonize(_bronze(spark, sf), as_of=fixture_as_of(spark, sf))
 
 
 def _silver(spark, sf):
-    """Harmonized rows that pass the NOT NULL / domain checks (Q1, Q2)."""
+    """Harmonized rows that pass the NOT NULL / domain checks (Q1, Q2),
+    written once, partitioned by day and sorted by time."""
     def build():
         good, _ = Q.quarantine_harmonized(_mapped(spark, sf))
         return store.with_day(good)
@@ -146,7 +152,7 @@ def q_koeri_pages(spark, sf):
 def q_json_split(spark, sf):
     """The flow's split + evaluate: GeoJSON feeds by ``$.features`` / ``$.id``,
     AFAD list responses by ``$`` / ``$.eventID``."""
-    resp = fixture_responses(spark, sf).withColumn("text", F.decode("content", "UTF-8")).drop("content")
+    resp = _archive(spark, sf).withColumn("text", F.decode("content", "UTF-8")).drop("content")
     geo = json_split_evaluate(resp.where(F.col("source").isin("EMSC", "USGS")), "$.features", "$.id")
     afad = json_split_evaluate(resp.where(F.col("source") == "AFAD"), "$", "$.eventID")
     return geo.unionByName(afad).select("source", "archive_uri", "id")
