@@ -362,10 +362,3 @@ def cluster_members(assigned: DataFrame) -> DataFrame:
         F.min_by(key, F.col("member_ord")).alias("cluster_head"),
         F.count("*").alias("cluster_size"))
     return assigned.join(heads, ["block", "cluster_seq"])
-
-
-def agreement_histogram(facts: DataFrame) -> DataFrame:
-    """A1: count of fact rows per agreement level (missing level -> 1)."""
-    return (facts.groupBy(F.coalesce(F.col("agreement_level").cast("int"), F.lit(1))
-                          .alias("agreement_level"))
-            .agg(F.count("*").alias("n_events")))

@@ -148,14 +148,18 @@ def q_koeri_pages(spark, sf):
 
 @register("json_split_evaluate", R + """SELECT source, archive_uri, CASE WHEN source = 'EMSC' AND eid % 7 = 0
   THEN '' WHEN source = 'AFAD' THEN CAST(eid AS VARCHAR) ELSE event_id END AS id
-  FROM raw_meta WHERE source IN ('EMSC', 'USGS') OR (source = 'AFAD' AND (eid // 256) % 2 = 0)""")
+  FROM raw_meta WHERE source IN ('AFAD', 'EMSC', 'USGS')""")
 def q_json_split(spark, sf):
-    """The flow's split + evaluate: GeoJSON feeds by ``$.features`` / ``$.id``,
-    AFAD list responses by ``$`` / ``$.eventID``."""
+    """The flow's split + evaluate over every JSON response: GeoJSON feeds by
+    ``$.features`` / ``$.id``; AFAD by ``$`` (a list) or ``$.result`` (an
+    object), then ``$.eventID``."""
     resp = _archive(spark, sf).withColumn("text", F.decode("content", "UTF-8")).drop("content")
     geo = json_split_evaluate(resp.where(F.col("source").isin("EMSC", "USGS")), "$.features", "$.id")
-    afad = json_split_evaluate(resp.where(F.col("source") == "AFAD"), "$", "$.eventID")
-    return geo.unionByName(afad).select("source", "archive_uri", "id")
+    afad = resp.where(F.col("source") == "AFAD")
+    is_list = F.ltrim(F.col("text")).startswith("[")
+    afad_list = json_split_evaluate(afad.where(is_list), "$", "$.eventID")
+    afad_obj = json_split_evaluate(afad.where(~is_list), "$.result", "$.eventID")
+    return geo.unionByName(afad_list).unionByName(afad_obj).select("source", "archive_uri", "id")
 
 
 @register("harmonize_increment", R + """SELECT r.source, r.event_id, r.event_time FROM raw_meta r
