@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.scalar import epoch_us, event_uid, floor_div, iso_utc, source_priority
-from ..schemas import DIST_KM_WINDOW, DM_WINDOW, DT_WINDOW_S, EARTH_RADIUS_KM, SOURCE_PRIORITY
+from ..schemas import DIST_KM_WINDOW, DM_WINDOW, DT_WINDOW_S, EARTH_RADIUS_KM
 
 # Python workers may not have this package on their path (the session can
 # be built by any launcher), so the fold ships by value with its helpers.
