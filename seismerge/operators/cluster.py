@@ -238,10 +238,9 @@ def spatial_blocks(sessions: DataFrame, link_km: float = 2 * DIST_KM_WINDOW + 10
     so such input keeps one block per session.
     """
     h = max(1.0, link_km / 111.0)
-    stats = sessions.agg(F.max(F.abs("latitude")).alias("lat_max"),
-                         F.max(F.abs("longitude")).alias("lon_max"))
-    lat_max = stats.select("lat_max").scalar()
-    lon_max = stats.select("lon_max").scalar()
+    stats = sessions.agg(F.struct(F.max(F.abs("latitude")).alias("lat"),
+                                  F.max(F.abs("longitude")).alias("lon"))).scalar()
+    lat_max, lon_max = stats["lat"], stats["lon"]
     ok = (lat_max <= 80.0) & (lon_max <= 179.0)
     w = F.lit(h) / F.cos(F.radians(F.least(F.lit(88.0), lat_max + h)))
     with_cells = sessions.withColumn("i", F.floor((F.col("latitude") + 90.0) / h).cast("int")) \
