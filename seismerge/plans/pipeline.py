@@ -23,6 +23,15 @@ def fixture_as_of(spark: SparkSession, sf_dir: str) -> Column:
     return read_table(spark, sf_dir, "events").agg(F.max("ts").cast("timestamp")).scalar()
 
 
+def fixture_as_of_literal(spark: SparkSession, sf_dir: str) -> str:
+    """The same "now" as a literal (one scalar fetched), for jobs whose
+    time predicates should reach the Parquet scan and prune day partitions,
+    as a scheduled job's ``as_of`` does."""
+    v = read_table(spark, sf_dir, "events").agg(
+        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    return v
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows parsed from the agencies' responses."""
     raw, _ = parse_responses(fixture_responses(spark, sf_dir))

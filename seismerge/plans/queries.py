@@ -20,7 +20,7 @@ from ..sources.parse import (json_split_evaluate, parse_json_responses, parse_ko
                              parse_responses)
 from ..sources.testdata import fixture_responses, read_table
 from . import oracle as O, store
-from .pipeline import fixture_as_of
+from .pipeline import fixture_as_of, fixture_as_of_literal
 from .views import disagreement, drilldown, latest_events
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -63,11 +63,15 @@ def _mapped(spark, sf):
 def _silver(spark, sf):
     """Harmonized rows that pass the NOT NULL / domain checks (Q1, Q2),
     written once, partitioned by day and sorted by time."""
+    return _silver_days(spark, sf).drop("day")
+
+
+def _silver_days(spark, sf):
+    """Silver with its ``day`` partition column (for day pruning)."""
     def build():
         good, _ = Q.quarantine_harmonized(_mapped(spark, sf))
         return store.with_day(good)
-    return store.table(spark, sf, "silver", build, partition_by=["day"],
-                       sort_by=["event_time"]).drop("day")
+    return store.table(spark, sf, "silver", build, partition_by=["day"], sort_by=["event_time"])
 
 
 def _assigned(spark, sf, scan="creation_break"):
@@ -241,7 +245,7 @@ def q_hist(spark, sf):
 @register("agreement_histogram_24h", FB + f"""SELECT CAST(len(srcs) AS INTEGER) AS agreement_level,
   count(*) AS n_events FROM facts WHERE t_min > {AS_OF_SQL} - INTERVAL 24 HOUR GROUP BY 1""")
 def q_hist24(spark, sf):
-    return A.agreement_histogram_recent(_facts(spark, sf), fixture_as_of(spark, sf))
+    return A.agreement_histogram_recent(_facts(spark, sf), fixture_as_of_literal(spark, sf))
 
 
 @register("by_province", FB + """SELECT p_province AS province, count(*) AS n_events,
@@ -305,7 +309,7 @@ def q_watermark(spark, sf):
   LEFT JOIN (SELECT source, count(*) AS n FROM raw_meta
              WHERE received_at > {AS_OF_SQL} - INTERVAL 1 HOUR GROUP BY 1) c USING (source)""")
 def q_fresh(spark, sf):
-    return A.source_freshness(_bronze(spark, sf), fixture_as_of(spark, sf)) \
+    return A.source_freshness(_bronze(spark, sf), fixture_as_of_literal(spark, sf)) \
         .select("source", F.col("n_rows").cast("bigint"), "silent")
 
 
@@ -471,8 +475,10 @@ def q_minmag(spark, sf):
 @register("lookback_filter", R + f"""SELECT source, event_id FROM raw_meta
   WHERE event_time > {AS_OF_SQL} - INTERVAL 24 HOUR""")
 def q_lookback(spark, sf):
-    return FL.lookback_filter(_silver(spark, sf), "event_time", fixture_as_of(spark, sf), 24) \
-        .select("source", "event_id")
+    # A literal as_of, as a scheduled job passes: the bound reaches the scan
+    # as a pushed filter and a day partition filter.
+    return FL.lookback_filter(_silver_days(spark, sf), "event_time",
+                              fixture_as_of_literal(spark, sf), 24).select("source", "event_id")
 
 
 @register("date_chunks", R + """,
