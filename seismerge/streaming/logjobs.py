@@ -59,6 +59,40 @@ def merge_silver_days(silver: DayTable, updates: DataFrame, as_of, slack_days: i
                         scratch_path(spark, "silver-stage"))
 
 
+def merge_facts_days(facts: DayTable, new: DataFrame, as_of) -> None:
+    """U4 upsert of fact rows into their days. A uid is the hash of its
+    first report's 90 s bucket, so a uid never changes day: merging only the
+    days of the new rows is exact (no slack needed)."""
+    spark = new.sparkSession
+    upd = new.withColumn("day", F.to_date("event_time"))
+    days = [r[0] for r in upd.select("day").distinct().collect()]
+    if not days:
+        return
+    cur = facts.read(spark)
+    existing = None if cur is None else cur.where(F.col("day").isin(days)).drop("day")
+    merged = U.upsert_mart(existing, upd.drop("day"), as_of=as_of)
+    facts.replace_days(merged.withColumn("day", F.to_date("event_time")),
+                       scratch_path(spark, "facts-stage"))
+
+
+def dedupe_days(spark: SparkSession, silver: DayTable, facts: DayTable, as_of,
+                touched_since, days: int = 30, scan: str = "creation_break") -> DataFrame:
+    """C11/T4 on day tables: re-cluster only the time sessions holding a
+    report harmonized after ``touched_since`` (silver read with day
+    pruning), then merge the new facts into their days."""
+    from ..operators.cluster import assign_clusters, build_facts, time_sessions, unique_uid
+    from ..operators.filters import lookback_filter
+    s = lookback_filter(silver.read(spark), "event_time", as_of, days * 24, inclusive=True).drop("day")
+    sess = time_sessions(s)
+    touched = (sess.where(F.col("harmonized_at") > F.lit(touched_since).cast("timestamp"))
+               .select("session").distinct())
+    redo = sess.join(touched, "session", "left_semi")
+    new = unique_uid(build_facts(assign_clusters(redo, scan=scan), as_of=as_of)) \
+        .drop("creation", "cluster_key")
+    merge_facts_days(facts, new, as_of)
+    return facts.read(spark)
+
+
 def harmonize_from_log(spark: SparkSession, log: DayTable, silver: DayTable,
                        wm: SnapshotTable, as_of, recheck_days: int = 30) -> int:
     lg = log.read(spark)
