@@ -33,9 +33,16 @@ def fixture_as_of_literal(spark: SparkSession, sf_dir: str) -> str:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows parsed from the agencies' responses."""
-    raw, _ = parse_responses(fixture_responses(spark, sf_dir))
-    return raw
+    """Raw rows parsed from the agencies' responses (S2-S5), as the written
+    bronze layer (built once per session, see ``store.py``)."""
+    from . import store
+
+    def build():
+        archive = store.table(spark, sf_dir, "archive", lambda: fixture_responses(spark, sf_dir),
+                              partition_by=["source"])
+        raw, _ = parse_responses(archive)
+        return raw
+    return store.table(spark, sf_dir, "bronze", build, partition_by=["source"])
 
 
 def silver(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
