@@ -40,23 +40,35 @@ def raw_view(log_df: DataFrame) -> DataFrame:
                     U.RAW_FILL, order=ORDER).drop("ordinal")
 
 
-def merge_silver_days(silver: DayTable, updates: DataFrame, as_of, slack_days: int = 1) -> None:
-    """U3 upsert of ``updates`` into the touched days of silver (plus
-    ``slack_days`` either side, where a revised time may have moved a key).
-    The touched days are a short list (the days of one increment)."""
+def merge_silver_days(silver: DayTable, updates: DataFrame, as_of, recheck_days: int = 30) -> None:
+    """U3 upsert of ``updates`` into silver, touching only the days that
+    change: the days of the new rows, plus the days where their keys live
+    now (found with a key-only semi-join over ``recheck_days`` around the
+    batch, so a revised time that moved a report to another day is seen).
+    Touched days are rewritten from the merged rows; a touched day left
+    with no rows is dropped."""
     spark = updates.sparkSession
     upd = updates.withColumn("day", F.to_date("event_time"))
-    days = [r[0] for r in upd.select("day").distinct().collect()]
-    if not days:
+    new_days = {r[0] for r in upd.select("day").distinct().collect()}
+    if not new_days:
         return
     import datetime as _dt
-    window = sorted({d + _dt.timedelta(days=k) for d in days
-                     for k in range(-slack_days, slack_days + 1)})
     cur = silver.read(spark)
-    existing = None if cur is None else cur.where(F.col("day").isin(window)).drop("day")
-    merged = U.upsert_harmonized(existing, upd.drop("day"), as_of=as_of)
-    silver.replace_days(merged.withColumn("day", F.to_date("event_time")),
-                        scratch_path(spark, "silver-stage"))
+    touched = set(new_days)
+    if cur is not None:
+        lo = min(new_days) - _dt.timedelta(days=recheck_days)
+        hi = max(new_days) + _dt.timedelta(days=recheck_days)
+        live = (cur.where(F.col("day").between(lo, hi)).select("source", "event_id", "day")
+                .join(upd.select("source", "event_id"), ["source", "event_id"], "left_semi"))
+        touched |= {r[0] for r in live.select("day").distinct().collect()}
+    existing = None if cur is None else cur.where(F.col("day").isin(sorted(touched))).drop("day")
+    merged = U.upsert_harmonized(existing, upd.drop("day"), as_of=as_of) \
+        .withColumn("day", F.to_date("event_time"))
+    merged.persist()
+    kept_days = {r[0] for r in merged.select("day").distinct().collect()}
+    silver.replace_days(merged, scratch_path(spark, "silver-stage"))
+    silver.drop_days(spark, sorted(touched - kept_days))
+    merged.unpersist()
 
 
 def merge_facts_days(facts: DayTable, new: DataFrame, as_of) -> None:
