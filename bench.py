@@ -47,12 +47,17 @@ def main() -> None:
         t0 = time.time()
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
-    n_reports = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    n_reports = Q._silver(spark, sf_dir).count()
+    n_facts = Q._facts(spark, sf_dir).count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     total = round(sum(times.values()), 3)
+    pipeline = sum(times[k] for k, _ in LAYERS if k != "build_archive")
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "events": n_reports, "cpus": int(cpus)}))
+                      "events": n_events, "reports": n_reports, "facts": n_facts,
+                      "pipeline_reports_per_sec": round(n_reports / pipeline) if pipeline else None,
+                      "cpus": int(cpus)}))
 
 
 if __name__ == "__main__":
