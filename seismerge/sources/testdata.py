@@ -9,7 +9,7 @@ rendered in each agency's own response format (AFAD JSON list or
 the parsers and mappers run on real-shaped payloads.
 
 Everything here is a narrow DataFrame pipeline: a fan-out by ``explode``
-(no cross join) and one bounded ``groupBy`` per archived response.
+(no cross join) and one bounded aggregation per archived response.
 """
 
 from __future__ import annotations
@@ -106,21 +106,19 @@ def canonical_reports(spark: SparkSession, sf_dir: str, published: bool = True)
 
 # --- rendering of agency responses ----------------------------------------
 
-def _fetch_meta(source: str, ext: str) -> list[Column]:
-    """received_at = pull time (two minutes after the newest report, to the
-    minute); archive_uri = <source>/<day>/<HHMMSS>-<8 hex>.<ext>."""
-    fetched = F.date_trunc("minute", F.max("event_time")) + F.expr("INTERVAL 2 MINUTES")
-    key = F.substring(F.sha1(F.concat_ws("|", F.lit(source), F.col("blob").cast("string"))), 1, 8)
-    uri = F.concat(F.lit(f"s3a://archive/{source}/"), F.date_format(fetched, "yyyy-MM-dd"),
-                   F.lit("/"), F.date_format(fetched, "HHmmss"), F.lit("-"), key, F.lit(f".{ext}"))
-    return [fetched.alias("received_at"), uri.alias("archive_uri")]
-
-
 def render_responses(reports: DataFrame) -> DataFrame:
     """One row per archived response: (source, blob, ext, received_at,
-    archive_uri, content binary). ``reports`` is ``fixture_reports(...)``."""
+    archive_uri, content binary). ``reports`` is ``fixture_reports(...)``.
+
+    Each report is rendered to its element text first (a JSON object, or a
+    KOERI line); then ONE aggregation per (agency, response) joins the
+    sorted elements and wraps them in the agency's envelope. Responses hold
+    at most BLOB_EVENTS events, so every group is bounded.
+    """
     r = reports.withColumn("blob", F.floor(F.col("eid") / BLOB_EVENTS))
     t = F.col("event_time")
+    k = F.col("k")
+    eid = F.col("eid")
 
     afad_item = F.struct(
         F.col("eid").alias("eventID"),
@@ -134,18 +132,9 @@ def render_responses(reports: DataFrame) -> DataFrame:
         F.col("province").alias("province"),
         F.col("district").alias("district"),
     )
-    afad = (r.where("k = 0").groupBy("blob")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("eid").alias("o"), afad_item.alias("i"))))
-                 .alias("items"), *_fetch_meta("AFAD", "json"))
-            .select(F.lit("AFAD").alias("source"), "blob", F.lit("json").alias("ext"),
-                    "received_at", "archive_uri",
-                    F.when(F.col("blob") % 2 == 0, F.to_json(F.col("items.i")))
-                    .otherwise(F.to_json(F.struct(F.col("items.i").alias("result"))))
-                    .alias("text")))
-
     emsc_feat = F.struct(
         F.lit("Feature").alias("type"),
-        F.when(F.col("eid") % 7 == 0, F.lit("")).otherwise(F.col("event_id")).alias("id"),
+        F.when(eid % 7 == 0, F.lit("")).otherwise(F.col("event_id")).alias("id"),
         F.struct(F.col("event_id").alias("unid"),
                  F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
                  F.col("depth_km").alias("depth"), F.col("magnitude").alias("mag"),
@@ -153,14 +142,6 @@ def render_responses(reports: DataFrame) -> DataFrame:
                  F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("time"),
                  F.col("place").alias("flynn_region")).alias("properties"),
     )
-    emsc = (r.where("k = 2").groupBy("blob")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("eid").alias("o"), emsc_feat.alias("f"))))
-                 .alias("feats"), *_fetch_meta("EMSC", "json"))
-            .select(F.lit("EMSC").alias("source"), "blob", F.lit("json").alias("ext"),
-                    "received_at", "archive_uri",
-                    F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
-                                       F.col("feats.f").alias("features"))).alias("text")))
-
     usgs_feat = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(F.col("magnitude").alias("mag"), F.col("place").alias("place"),
@@ -171,19 +152,11 @@ def render_responses(reports: DataFrame) -> DataFrame:
                  .alias("coordinates")).alias("geometry"),
         F.col("event_id").alias("id"),
     )
-    usgs = (r.where("k = 3").groupBy("blob")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col("eid").alias("o"), usgs_feat.alias("f"))))
-                 .alias("feats"), *_fetch_meta("USGS", "json"))
-            .select(F.lit("USGS").alias("source"), "blob", F.lit("json").alias("ext"),
-                    "received_at", "archive_uri",
-                    F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
-                                       F.col("feats.f").alias("features"))).alias("text")))
 
     # KOERI: local time (UTC+3), '-.-' for a missing magnitude, quality tag.
     local = t + F.expr("INTERVAL 3 HOURS")
     m = F.col("magnitude")
     fmt_m = lambda c: F.coalesce(py_fixed(c, 1), F.lit("-.-"))
-    eid = F.col("eid")
     md = F.when(eid % 3 == 2, m).when(eid % 3 == 1, m + F.lit(0.1e0))
     ml = F.when(eid % 3 == 1, m).when(eid % 3 == 0, m - F.lit(0.2e0))
     mw = F.when(eid % 3 == 0, m)
@@ -202,23 +175,39 @@ def render_responses(reports: DataFrame) -> DataFrame:
               "                                             Cozum Niteligi\n"
               "---------- --------  --------  -------   ----------    ------------    "
               "--------------\n")
-    koeri = (r.where("k = 1").groupBy("blob")
-             .agg(F.sort_array(F.collect_list(F.struct(F.col("event_time").alias("o"), line.alias("l"))),
-                               asc=False).alias("lines"), *_fetch_meta("KOERI", "html"))
-             .select(F.lit("KOERI").alias("source"), "blob", F.lit("html").alias("ext"),
-                     "received_at", "archive_uri",
-                     F.concat(F.lit("<HTML><HEAD><TITLE>Son Depremler</TITLE></HEAD><BODY>\n"
-                                    "<PRE>\nRECENT EARTHQUAKES IN TURKEY\n\n" + header),
-                              F.array_join(F.col("lines.l"), "\n"),
-                              F.lit("\n</PRE></BODY></HTML>\n")).alias("text")))
-
-    json_blobs = afad.unionByName(emsc).unionByName(usgs) \
-        .withColumn("content", F.encode("text", "UTF-8"))
+
+    elem = (F.when(k == 0, F.to_json(afad_item)).when(k == 1, line)
+            .when(k == 2, F.to_json(emsc_feat)).otherwise(F.to_json(usgs_feat)))
+    # JSON feeds list events by id; the KOERI page lists the newest first.
+    order = F.when(k == 1, -F.unix_micros(t)).otherwise(eid)
+    grouped = r.groupBy("k", "blob").agg(
+        F.sort_array(F.collect_list(F.struct(order.alias("o"), elem.alias("e")))).alias("items"),
+        F.max("event_time").alias("newest"))
+    src = F.element_at(F.array(*[F.lit(x) for x in SOURCE_PRIORITY]), k + 1)
+    body_json = F.array_join(F.col("items.e"), ",")
+    text = (F.when(k == 0, F.when(F.col("blob") % 2 == 0,
+                                  F.concat(F.lit("["), body_json, F.lit("]")))
+                   .otherwise(F.concat(F.lit('{"result":['), body_json, F.lit("]}"))))
+            .when(k == 1, F.concat(F.lit("<HTML><HEAD><TITLE>Son Depremler</TITLE></HEAD><BODY>\n"
+                                         "<PRE>\nRECENT EARTHQUAKES IN TURKEY\n\n" + header),
+                                   F.array_join(F.col("items.e"), "\n"),
+                                   F.lit("\n</PRE></BODY></HTML>\n")))
+            .otherwise(F.concat(F.lit('{"type":"FeatureCollection","features":['), body_json,
+                                F.lit("]}"))))
+    # received_at = pull time (two minutes after the newest report, to the
+    # minute); archive_uri = <source>/<day>/<HHMMSS>-<8 hex>.<ext>.
+    fetched = F.date_trunc("minute", F.col("newest")) + F.expr("INTERVAL 2 MINUTES")
+    ext = F.when(k == 1, "html").otherwise("json")
+    key = F.substring(F.sha1(F.concat_ws("|", src, F.col("blob").cast("string"))), 1, 8)
+    uri = F.concat(F.lit("s3a://archive/"), src, F.lit("/"), F.date_format(fetched, "yyyy-MM-dd"),
+                   F.lit("/"), F.date_format(fetched, "HHmmss"), F.lit("-"), key, F.lit("."), ext)
     # KOERI pages are ISO-8859-9 (Latin-5). It differs from Latin-1 in six
     # letters only, so map those onto their Latin-1 code points and encode.
-    html_blobs = koeri.withColumn(
-        "content", F.encode(F.translate("text", LATIN5_LETTERS, LATIN1_SAME_BYTES), "ISO-8859-1"))
-    return json_blobs.unionByName(html_blobs).drop("text")
+    content = F.when(k == 1, F.encode(F.translate(text, LATIN5_LETTERS, LATIN1_SAME_BYTES),
+                                      "ISO-8859-1")).otherwise(F.encode(text, "UTF-8"))
+    return grouped.select(src.alias("source"), "blob", ext.alias("ext"),
+                          fetched.alias("received_at"), uri.alias("archive_uri"),
+                          content.alias("content"))
 
 
 def fixture_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
