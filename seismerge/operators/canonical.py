@@ -52,7 +52,9 @@ def map_canonical(raw: DataFrame, strict: bool = True) -> DataFrame:
     p = F.col("_p")
     props = p["properties"]
     coords = p["geometry"]["coordinates"]
-    koeri_mag = F.coalesce(*[to_double_or_null(p[m]) for m in KOERI_MAG_PRECEDENCE])
+    # The first scale present wins, then its value is converted (a malformed
+    # value gives null rather than falling through to the next scale).
+    koeri_mag = to_double_or_null(F.coalesce(*[p[m] for m in KOERI_MAG_PRECEDENCE]))
     koeri_type = F.coalesce(*[F.when(p[m].isNotNull(), F.lit(m.upper()))
                               for m in KOERI_MAG_PRECEDENCE])
     src = F.col("source")
