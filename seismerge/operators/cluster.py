@@ -179,13 +179,30 @@ def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
     return fold
 
 
-def _cell_components(dt_link_km: float):
+def _band_width(i: int, h: float) -> float:
+    """Longitude width (degrees) of the cells of latitude band ``i``."""
+    edge = max(abs(i * h - 90.0), abs((i + 1) * h - 90.0))
+    return h / math.cos(math.radians(min(88.0, edge + h)))
+
+
+def _band_width_col(i, h: float):
+    edge = F.greatest(F.abs(i * F.lit(h) - 90.0), F.abs((i + 1) * F.lit(h) - 90.0))
+    return F.lit(h) / F.cos(F.radians(F.least(F.lit(88.0), edge + h)))
+
+
+def _cell_components(h: float):
     """mapInPandas body: union-find over the occupied grid cells of each
-    session (8-neighbourhood, longitude wraps). Input sorted by (session,
-    i, j); a session's cells are buffered until the next session starts,
-    so memory is bounded by the grid, not by the data."""
+    session. Cells are (band i, column j); a cell's neighbours are the cells
+    of bands i-1..i+1 whose longitude span overlaps its own, padded by one
+    cell (longitude wraps). Input is sorted by (session, i, j); a session's
+    cells are buffered until the next session starts, so memory is bounded
+    by the grid, not by the data. A session with a report near a pole or the
+    antimeridian keeps a single block."""
     def run(batches):
-        def flush(ses, cells, nj):
+        def flush(ses, cells, bad):
+            if bad:
+                return pd.DataFrame({"session": [ses] * len(cells), "i": [c[0] for c in cells],
+                                     "j": [c[1] for c in cells], "comp": [0] * len(cells)})
             idx = {c: k for k, c in enumerate(cells)}
             parent = list(range(len(cells)))
 
@@ -195,9 +212,17 @@ def _cell_components(dt_link_km: float):
                     a = parent[a]
                 return a
             for k, (ci, cj) in enumerate(cells):
+                w = _band_width(ci, h)
                 for di in (-1, 0, 1):
-                    for dj in (-1, 0, 1):
-                        o = idx.get((ci + di, (cj + dj) % nj))
+                    i2 = ci + di
+                    if i2 < 0:
+                        continue
+                    w2 = _band_width(i2, h)
+                    n2 = int(math.ceil(360.0 / w2))
+                    lo = int(math.floor(cj * w / w2)) - 1
+                    hi = int(math.floor((cj + 1) * w / w2)) + 1
+                    for j2 in range(lo, hi + 1):
+                        o = idx.get((i2, j2 % n2))
                         if o is not None:
                             ra, rb = find(k), find(o)
                             if ra != rb:
@@ -205,21 +230,22 @@ def _cell_components(dt_link_km: float):
             comp = {}
             for k, (ci, cj) in enumerate(cells):
                 r = find(k)
-                comp[r] = min(comp.get(r, 1 << 40), ci * nj + cj)
+                comp[r] = min(comp.get(r, 1 << 40), ci * 4096 + cj)
             return pd.DataFrame({"session": [ses] * len(cells), "i": [c[0] for c in cells],
                                  "j": [c[1] for c in cells],
                                  "comp": [comp[find(k)] for k in range(len(cells))]})
-        cur, cells, nj = None, [], 1
+        cur, cells, bad = None, [], False
         for pdf in batches:
-            for ses, ci, cj, n in zip(pdf["session"].tolist(), pdf["i"].tolist(),
-                                      pdf["j"].tolist(), pdf["nj"].tolist()):
+            for ses, ci, cj, b in zip(pdf["session"].tolist(), pdf["i"].tolist(),
+                                      pdf["j"].tolist(), pdf["bad"].tolist()):
                 if ses != cur and cells:
-                    yield flush(cur, cells, nj)
-                    cells = []
-                cur, nj = ses, int(n)
+                    yield flush(cur, cells, bad)
+                    cells, bad = [], False
+                cur = ses
+                bad = bad or bool(b)
                 cells.append((int(ci), int(cj)))
         if cells:
-            yield flush(cur, cells, nj)
+            yield flush(cur, cells, bad)
     return run
 
 
@@ -229,31 +255,27 @@ def spatial_blocks(sessions: DataFrame, link_km: float = 2 * DIST_KM_WINDOW + 10
     In window mode a report only joins a cluster whose newest member is
     within the time window, and that member is within ``2 * dist_km`` of the
     report (both lie within ``dist_km`` of the centroid). So reports in
-    different connected components of (same session, grid cells of at least
-    ``link_km`` on each side, 8-neighbourhood) never meet. Cells are 1 degree
-    (or more) of latitude by a longitude width widened by 1/cos of the
-    highest latitude. Components are labelled per session over *occupied
-    cells* (bounded by the grid, not by the data), then joined back.
-    Near the poles or the antimeridian the planar centroid argument fails,
-    so such input keeps one block per session.
+    different connected components of (same session, grid cells at least
+    ``link_km`` across) never meet. Bands are 1 degree (or more) of
+    latitude; each band's longitude width is widened by 1/cos of the band's
+    own highest latitude, so no global statistic is needed and cells stay
+    fine at low latitudes. Components are labelled per session over the
+    *occupied cells* (bounded by the grid, not by the data), then joined
+    back. Near the poles or the antimeridian the planar centroid argument
+    fails, so a session with such a report keeps a single block.
     """
     h = max(1.0, link_km / 111.0)
-    stats = sessions.agg(F.struct(F.max(F.abs("latitude")).alias("lat"),
-                                  F.max(F.abs("longitude")).alias("lon"))).scalar()
-    lat_max, lon_max = stats["lat"], stats["lon"]
-    ok = (lat_max <= 80.0) & (lon_max <= 179.0)
-    w = F.lit(h) / F.cos(F.radians(F.least(F.lit(88.0), lat_max + h)))
-    with_cells = sessions.withColumn("i", F.floor((F.col("latitude") + 90.0) / h).cast("int")) \
-        .withColumn("j", F.floor((F.col("longitude") + 180.0) / w).cast("int")) \
-        .withColumn("nj", F.ceil(F.lit(360.0) / w).cast("int"))
-    occupied = (with_cells.select("session", "i", "j", "nj").distinct()
+    i = F.floor((F.col("latitude") + 90.0) / h).cast("int")
+    with_cells = sessions.withColumn("i", i) \
+        .withColumn("j", F.floor((F.col("longitude") + 180.0) / _band_width_col(F.col("i"), h))
+                    .cast("int"))
+    bad = (F.abs(F.col("latitude")) > 80.0) | (F.abs(F.col("longitude")) > 179.0)
+    occupied = (with_cells.groupBy("session", "i", "j").agg(F.max(bad.cast("int")).alias("bad"))
                 .repartition("session").sortWithinPartitions("session", "i", "j"))
-    comps = occupied.mapInPandas(_cell_components(link_km),
-                                 "session long, i int, j int, comp long")
+    comps = occupied.mapInPandas(_cell_components(h), "session long, i int, j int, comp long")
     out = with_cells.join(comps, ["session", "i", "j"], "left")
-    block = F.when(ok, F.col("session") * _BLOCK_SHIFT + F.col("comp")) \
-        .otherwise(F.col("session") * _BLOCK_SHIFT)
-    return out.withColumn("block", block).drop("i", "j", "nj", "comp")
+    return out.withColumn("block", F.col("session") * _BLOCK_SHIFT + F.col("comp")) \
+        .drop("i", "j", "comp")
 
 
 def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
