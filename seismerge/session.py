@@ -58,10 +58,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local runs and tests) do we make our own under the system temp folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = (spark.conf.get("spark.checkpoint.dir", None)
+         or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+         or spark.sparkContext.getCheckpointDir())
     if not d:
         d = tempfile.mkdtemp(prefix="seismerge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # some builds refuse runtime changes of core settings
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
