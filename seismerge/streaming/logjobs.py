@@ -133,3 +133,32 @@ def harmonize_from_log(spark: SparkSession, log: DayTable, silver: DayTable,
         set_watermarks(spark, wm, marks, as_of)
     first.unpersist()
     return n
+
+
+def sync_days(spark: SparkSession, facts: DayTable, docs: DayTable, wm: SnapshotTable, as_of,
+              job: str = "sync::mart") -> int:
+    """T3 on day tables: facts changed since the cursor become documents,
+    merged by document id (event_uid) into their days; the cursor moves
+    only after the merge. Every changed row is taken (no LIMIT, B8)."""
+    from ..sources.documents import to_documents
+    from .jobs import get_watermark
+    f = facts.read(spark)
+    if f is None:
+        return 0
+    cursor = get_watermark(spark, wm, job)
+    changed = f.where(F.col("updated_at") > F.lit(str(cursor)).cast("timestamp")).drop("day")
+    changed.persist()
+    n = changed.count()
+    if n:
+        new_docs = to_documents(changed).withColumn("day", F.to_date(F.substring("event_time", 1, 10)))
+        days = [r[0] for r in new_docs.select("day").distinct().collect()]
+        cur = docs.read(spark)
+        existing = None if cur is None else cur.where(F.col("day").isin(days)).drop("day")
+        merged = U.upsert(existing, new_docs.drop("day"), ["event_uid"]) \
+            .withColumn("day", F.to_date(F.substring("event_time", 1, 10)))
+        docs.replace_days(merged, scratch_path(spark, "docs-stage"))
+        mark = changed.agg(F.max("updated_at").alias("last_value")) \
+            .select(F.lit(job).alias("job_name"), "last_value")
+        set_watermarks(spark, wm, mark, as_of)
+    changed.unpersist()
+    return n
