@@ -9,6 +9,13 @@ as scheduled tasks). Tables live under ``--root`` as snapshot tables.
   python -m seismerge.cli sync       --root R --as-of TS [--out DIR]
   python -m seismerge.cli quality    --root R --as-of TS
   python -m seismerge.cli view       --root R --name latest|disagreement|by_province
+
+Large-table path (append-only raw log, day-partitioned silver/facts/docs):
+
+  python -m seismerge.cli ingest-log    --root R --landing L
+  python -m seismerge.cli harmonize-log --root R --as-of TS
+  python -m seismerge.cli dedupe-days   --root R --as-of TS --touched-since TS
+  python -m seismerge.cli sync-days     --root R --as-of TS
 """
 
 from __future__ import annotations
@@ -32,7 +39,8 @@ def _tables(root: str) -> dict[str, SnapshotTable]:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="seismerge")
-    ap.add_argument("job", choices=["replay", "ingest", "harmonize", "dedupe", "sync", "quality", "view"])
+    ap.add_argument("job", choices=["replay", "ingest", "harmonize", "dedupe", "sync", "quality", "view",
+                                    "ingest-log", "harmonize-log", "dedupe-days", "sync-days"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--archive")
     ap.add_argument("--landing")
@@ -47,6 +55,23 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
     t = _tables(a.root)
+    if a.job.endswith(("-log", "-days")):
+        from .streaming import logjobs as L
+        from .streaming.tables import DayTable
+        d = {n: DayTable(os.path.join(a.root, "days", n)) for n in ("silver", "facts", "docs")}
+        log = DayTable(os.path.join(a.root, "days", "raw_log"), "ingest_day")
+        if a.job == "ingest-log":
+            J.live_ingest_stream(spark, a.landing, log, os.path.join(a.root, "_log_ckpt")) \
+                .awaitTermination()
+        elif a.job == "harmonize-log":
+            print(L.harmonize_from_log(spark, log, d["silver"], t["watermarks"], a.as_of))
+        elif a.job == "dedupe-days":
+            f = L.dedupe_days(spark, d["silver"], d["facts"], a.as_of, a.touched_since or "1970-01-01",
+                              a.days, a.scan)
+            A.agreement_histogram(f).orderBy("agreement_level").show()
+        else:
+            print(L.sync_days(spark, d["facts"], d["docs"], t["watermarks"], a.as_of))
+        return
     if a.job == "replay":
         J.replay(spark, a.archive, t["raw"], a.sources)
     elif a.job == "ingest":
