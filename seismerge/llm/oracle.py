@@ -57,3 +57,19 @@ WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS g
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents d JOIN g ON coalesce(d.text, '') = g.t
 """
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 5], ' ') AS s FROM
+  (SELECT doc_id, w, unnest(range(0, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+comp AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+ d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
+"""

@@ -12,6 +12,8 @@ from seismerge.llm.decontaminate import decontaminate
 from seismerge.llm.exact_dedup import exact_dedup
 from seismerge.llm.url_filter import url_filter
 
+from seismerge.llm.near_dedup import near_dedup
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,8 +32,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, table(spark, sf_dir, "documents")).drop("row")
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
     "op7_exact_dedup": (op7, oracle.EXACT_DEDUP),
+    "op6_near_dedup": (op6, oracle.NEAR_DEDUP),
 }
