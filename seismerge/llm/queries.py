@@ -14,6 +14,10 @@ from seismerge.llm.url_filter import url_filter
 
 from seismerge.llm.near_dedup import near_dedup
 
+from seismerge.llm.packing import pack
+
+from seismerge.llm.token_counts import token_histogram
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,9 +40,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, table(spark, sf_dir, "documents"))
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_histogram(spark, table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
     "op7_exact_dedup": (op7, oracle.EXACT_DEDUP),
     "op6_near_dedup": (op6, oracle.NEAR_DEDUP),
+    "op5_packing": (op5, None),
+    "op9_token_counts": (op9, None),
 }
