@@ -1,22 +1,28 @@
 """Token ids of whole texts by a public tokenizer, encoding each distinct word once.
 
 The tokenizer never joins text across blanks, so a text's ids are those of
-its blank-separated words in order. Words are found and hashed with numpy;
-each task keeps a bounded table of words it has encoded.
+its blank-separated words in order; it also always cuts between a letter and
+a comma or full stop, and ignores case. Words are found and hashed with numpy;
+each Python worker keeps a bounded table of words it has encoded.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
-from seismerge.llm.common import byte_sums, space_words, span_hash
+from seismerge.llm.common import byte_sums, lower_ascii, space_words, span_hash
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words kept by one Python worker; beyond it the table starts anew.
 KEPT_WORDS = 1_000_000
 
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+_STOP[[ord(","), ord(".")]] = True
+
 
 class WordEncoder:
     def __init__(self, name: str = TOKENIZER):
@@ -37,7 +43,7 @@ class WordEncoder:
         if len(self.index) > KEPT_WORDS:
             self.clear()
         keys, get = distinct.tolist(), self.index.get
-        at = np.array([get(h, -1) for h in keys], np.int64)
+        at = np.fromiter((get(h, -1) for h in keys), np.int64, len(keys))
         new = np.flatnonzero(at < 0)
         if len(new):
             raw = data.tobytes()
@@ -48,14 +54,21 @@ class WordEncoder:
             ends = self.start[-1] + np.cumsum([len(g) for g in got])
             while len(self.ids) < ends[-1]:
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.start[-1]:ends[-1]] = [i for g in got for i in g]
+            self.ids[self.start[-1]:ends[-1]] = list(chain.from_iterable(got))
             self.start = np.concatenate([self.start, ends])
         return at[back]
 
     def encode(self, data: np.ndarray, off: np.ndarray, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """ids of all rows and each row's first position in them (one more at the
         end); ``tail``: an id after every row."""
-        start, end, first = space_words(data, off)
+        if b"<|" not in data.tobytes():  # special tokens, if any, are matched as written
+            data = lower_ascii(data)
+        start, end, _ = space_words(data, off)
+        if len(data) > 1:
+            inner = np.flatnonzero(_LETTER[data[:-1]] & _STOP[data[1:]]) + 1
+            inner = inner[~np.isin(inner, off)] if len(inner) else inner
+            start, end = np.sort(np.concatenate([start, inner])), np.sort(np.concatenate([end, inner]))
+        first = np.searchsorted(start, off)
         at = self.words(data, start, end, span_hash(byte_sums(data), start, end))
         size = self.start[at + 1] - self.start[at]
         before = np.concatenate([[0], np.cumsum(size)])
