@@ -18,6 +18,10 @@ from seismerge.llm.packing import pack
 
 from seismerge.llm.token_counts import token_histogram
 
+from seismerge.llm.language import language_id
+
+from seismerge.llm.quality import quality_scores
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,6 +52,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_histogram(spark, table(spark, sf_dir, "documents"))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(spark, table(spark, sf_dir, "documents"))
+
+
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
@@ -55,4 +67,6 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_near_dedup": (op6, oracle.NEAR_DEDUP),
     "op5_packing": (op5, None),
     "op9_token_counts": (op9, None),
+    "op2_language_id": (op2, None),
+    "op10_quality": (op10, None),
 }
