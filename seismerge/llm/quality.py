@@ -1,7 +1,9 @@
 """Quality classifier: support vectors over n-grams scaled by class log-count ratios.
 
 Tokens are runs of letters (case kept), digits or other signs; the features
-are hashed token 1- and 2-grams, present or not. Each feature is scaled by the
+are hashed token 1- and 2-grams, present or not; a token followed by itself is
+one 2-gram whatever the token, and thrice in a row one 3-gram, so that
+repetition is learned across vocabularies. Each feature is scaled by the
 log ratio of its smoothed counts in the two classes, taken over all labelled
 training documents. A linear hinge-loss model over the scaled indicators is
 then fitted by dual coordinate descent on a bounded sample (``PER_CLASS``
@@ -32,6 +34,8 @@ BITS, PER_CLASS, CUT = 17, 3000, 0.3
 SMOOTH, COST, EPOCHS, CALIBRATION = 1.0, 1.0, 20, 5
 SIZE = 1 << BITS
 
+_TWICE, _THRICE = 1, 2
+
 _KIND = np.full(256, 3, np.uint8)  # signs
 _KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
 _KIND[48:58] = 2
@@ -39,7 +43,7 @@ _KIND[65:91] = _KIND[97:123] = _KIND[128:] = 1
 
 
 def features(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
-    """Per row the distinct buckets of its token 1- and 2-grams."""
+    """Per row the distinct buckets of its token n-grams."""
     if not len(data):
         return [np.zeros(0, np.int64)] * (len(off) - 1)
     kind = _KIND[data]
@@ -54,6 +58,9 @@ def features(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     first = np.searchsorted(start, off)
     one = (token >> np.uint64(64 - BITS)).astype(np.int64)
     two = (mix(token[:-1] * np.uint64(3) + token[1:]) >> np.uint64(64 - BITS)).astype(np.int64)
+    same = np.flatnonzero(token[:-1] == token[1:])
+    two[same] = _TWICE
+    two[same[np.flatnonzero(np.diff(same) == 1)]] = _THRICE
     seen, out = np.zeros(SIZE, bool), []
     for a, b in zip(first[:-1], first[1:]):
         seen[one[a:b]] = True
