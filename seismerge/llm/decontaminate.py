@@ -29,7 +29,9 @@ from seismerge.llm.common import written
 
 WINDOW, GRAM = 10, 5
 BROADCAST_FINGERPRINTS = 1_000_000
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Outside [\x00-\x2F\x3A-\x60\x7B-\x7F]; written as what it holds once A-Z are gone,
+#: which Java's matcher takes far faster than the negated class.
+WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
