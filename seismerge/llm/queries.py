@@ -22,6 +22,8 @@ from seismerge.llm.language import language_id
 
 from seismerge.llm.quality import quality_scores
 
+from seismerge.llm.repeats import remove_repeats
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,6 +62,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(spark, table(spark, sf_dir, "documents"), keep_text=False).drop("row", "kept")
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
@@ -69,4 +75,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_token_counts": (op9, None),
     "op2_language_id": (op2, None),
     "op10_quality": (op10, None),
+    "op8_repeats": (op8, None),
 }
