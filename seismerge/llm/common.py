@@ -19,9 +19,10 @@ SLICE_BYTES = 2 << 20
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a table in the shared checkpoint folder
-    and read it back, so that any executor can recompute from it."""
+    and read it back, so that any executor can recompute from it. Zstandard
+    works on heap buffers; Snappy's direct ones outlive their small files."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -134,3 +135,11 @@ def with_columns(batch: pa.RecordBatch, keep: list[str], **new) -> pa.RecordBatc
     cols = [batch.column(batch.schema.get_field_index(c)) for c in keep]
     return pa.RecordBatch.from_arrays(cols + [v if isinstance(v, pa.Array) else pa.array(v) for v in new.values()],
                                       names=keep + list(new))
+
+
+def dropped(spark: SparkSession, table: DataFrame) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for file in table.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
