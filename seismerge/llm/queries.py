@@ -24,6 +24,8 @@ from seismerge.llm.quality import quality_scores
 
 from seismerge.llm.repeats import remove_repeats
 
+from seismerge.llm.lm_score import lm_scores
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -66,6 +68,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark, table(spark, sf_dir, "documents"), keep_text=False).drop("row", "kept")
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(spark, table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
@@ -76,4 +82,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_language_id": (op2, None),
     "op10_quality": (op10, None),
     "op8_repeats": (op8, None),
+    "op3_lm_score": (op3, None),
 }

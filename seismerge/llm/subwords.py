@@ -58,9 +58,8 @@ class WordEncoder:
             self.start = np.concatenate([self.start, ends])
         return at[back]
 
-    def encode(self, data: np.ndarray, off: np.ndarray, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """ids of all rows and each row's first position in them (one more at the
-        end); ``tail``: an id after every row."""
+    def pieces(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Table entry and start of each separately encoded piece."""
         if b"<|" not in data.tobytes():  # special tokens, if any, are matched as written
             data = lower_ascii(data)
         start, end, _ = space_words(data, off)
@@ -68,12 +67,20 @@ class WordEncoder:
             inner = np.flatnonzero(_LETTER[data[:-1]] & _STOP[data[1:]]) + 1
             inner = inner[~np.isin(inner, off)] if len(inner) else inner
             start, end = np.sort(np.concatenate([start, inner])), np.sort(np.concatenate([end, inner]))
-        first = np.searchsorted(start, off)
-        at = self.words(data, start, end, span_hash(byte_sums(data), start, end))
+        return self.words(data, start, end, span_hash(byte_sums(data), start, end)), start
+
+    def expand(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the given entries, and each entry's first position (one more at the end)."""
         size = self.start[at + 1] - self.start[at]
         before = np.concatenate([[0], np.cumsum(size)])
-        place = np.arange(before[-1]) + np.repeat(self.start[at] - before[:-1], size)
-        ids, bounds = self.ids[place], before[first]
+        return self.ids[np.arange(before[-1]) + np.repeat(self.start[at] - before[:-1], size)], before
+
+    def encode(self, data: np.ndarray, off: np.ndarray, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all rows and each row's first position in them (one more at the
+        end); ``tail``: an id after every row."""
+        at, start = self.pieces(data, off)
+        ids, before = self.expand(at)
+        bounds = before[np.searchsorted(start, off)]
         if tail is not None:
             ids = np.insert(ids, bounds[1:], tail)
             bounds = bounds + np.arange(len(bounds))
