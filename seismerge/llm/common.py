@@ -26,6 +26,15 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(spark: SparkSession) -> Column:
+    """A row's position in a plain table read, the same in every scan:
+    the number of splits is pinned for the session, as it would otherwise
+    follow the executors that happen to be there."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def id_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n (null id: null)."""
     return F.crc32(doc_id.cast("string")) % F.lit(n)

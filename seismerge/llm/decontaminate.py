@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seismerge.llm.common import written
+from seismerge.llm.common import numbered, written
 
 WINDOW, GRAM = 10, 5
 BROADCAST_FINGERPRINTS = 1_000_000
@@ -101,7 +101,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id
                               words_of(F.col(item_text_col)).alias("words"))
              .where(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(window))))
     items = written(spark, items, "items")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+    rows = docs.select(numbered(spark).alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
     words = rows.select("row", words_of(F.col("text")).alias("words"))
     found = None

@@ -19,16 +19,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import written
+from seismerge.llm.common import numbered, written
 
 MIN_CHUNK, MAX_CHUNK = 400, 4000
 CHUNK = rf"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 1}}}?(?:\n|[.!?] )|.{{1,{MAX_CHUNK}}}"
 
 
-def chunks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def chunks_of(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """row, doc_id, text_sha256, pos, chunk; a text without a chunk gives one row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+    return (docs.select(numbered(spark).alias("row"), F.col(id_col).alias("doc_id"),
                         F.unhex(F.sha2(text, 256)).alias("sha"),
                         F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0)).alias("chunks"))
             .select("row", "doc_id", "sha", F.posexplode_outer("chunks").alias("pos", "chunk"))
@@ -40,7 +40,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     """One row per input row: row (the input's monotonic id), doc_id, keep_id,
     group_size, kept, text_sha256. The row with the largest id of each group
     of equal texts stays."""
-    chunks = chunks_of(docs, id_col, text_col)
+    chunks = chunks_of(spark, docs, id_col, text_col)
     doubtful = written(spark, chunks.where("pos is not null").select("h", "chunk").distinct().groupBy("h").count()
                        .where("count > 1").select("h", F.lit(True).alias("doubt")), "chunk-hashes")
     recipes = (chunks.join(doubtful, "h", "left")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import held_out, with_columns
+from seismerge.llm.common import held_out, numbered, with_columns
 from seismerge.llm.fitting import class_counts, fitted, stratified
 
 UNKNOWN = "und"
@@ -138,16 +138,16 @@ def predictor(classes: list[str], idf: np.ndarray, weights: np.ndarray, heat: fl
                 best = int(p.argmax())
                 lang.append(classes[best])
                 score.append(float(p[best]))
-            yield with_columns(batch, ["doc_id", "held_out"], lang_pred=pa.array(lang, pa.string()),
+            yield with_columns(batch, ["row", "doc_id", "held_out"], lang_pred=pa.array(lang, pa.string()),
                                score=pa.array(score, pa.float64()))
     return run
 
 
 def language_id(spark: SparkSession, docs: DataFrame, per_class: int = PER_CLASS, folds: int = 5,
                 rest: int = 0) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every document of ``docs(doc_id,
-    text, lang)``; rows with crc32(doc_id) mod ``folds`` = ``rest`` are held out."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+    """row (the input's position), doc_id, held_out, lang_pred, score for every
+    document of ``docs(doc_id, text, lang)``; rows with crc32(doc_id) mod ``folds`` = ``rest`` are held out."""
+    rows = docs.select(numbered(spark).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"), held_out(F.col("doc_id"), folds, rest).alias("held_out"))
     known = rows.where("not held_out and lang is not null and text <> ''").select("doc_id", "text", "lang")
     counts = class_counts(known.select("lang"), "lang")
@@ -163,5 +163,5 @@ def language_id(spark: SparkSession, docs: DataFrame, per_class: int = PER_CLASS
         if model:
             weights = np.frombuffer(model["weights"], np.float32).reshape(BUCKETS + 1, -1)
             heat = model["heat"]
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        predictor(classes, idf, weights, heat), "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.select("row", "doc_id", "held_out", "text").mapInArrow(
+        predictor(classes, idf, weights, heat), "row long, doc_id long, held_out boolean, lang_pred string, score double")

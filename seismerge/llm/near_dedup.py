@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import byte_sums, lower_ascii, mix, slices, space_words, span_hash, with_columns, written
+from seismerge.llm.common import byte_sums, lower_ascii, mix, numbered, slices, space_words, span_hash, with_columns, written
 from seismerge.llm.components import connected_components
 
 SHINGLE, SKETCH, PERCENT, MISS = 5, 64, 85, 1e-9
@@ -98,7 +98,7 @@ def sketcher(size: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in slices(batches):
             sets = shingle_sets(data, off, size)
-            yield with_columns(rows, ["doc_id"], n=np.array([len(s) for s in sets], np.int64),
+            yield with_columns(rows, ["row", "doc_id"], n=np.array([len(s) for s in sets], np.int64),
                                node=node_ids(sets), sketch=lists_of([s[:k] for s in sets]))
     return run
 
@@ -157,21 +157,19 @@ def links(spark: SparkSession, pairs: DataFrame, sketches: DataFrame, sets: Data
 def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle: int = SHINGLE, k: int = SKETCH, percent: int = PERCENT, miss: float = MISS,
                rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: documents linked when
-    100 * intersection >= percent * union; the smallest id of a component stays."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """row (the input's position), doc_id, n_shingles, component_id, kept:
+    documents linked when 100 * intersection >= percent * union; the smallest
+    id of a component stays, or of rows that share it the first."""
+    texts = docs.select(numbered(spark).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketches = written(spark, texts.mapInArrow(
-        sketcher(shingle, k), "doc_id long, n long, node long, sketch array<long>"), "sketches")
+        sketcher(shingle, k), "row long, doc_id long, n long, node long, sketch array<long>"), "sketches")
     lists = candidate_lists(spark, sketches, k, percent, miss)
     # One document stands for each node that may have links.
-    members = lists.select("node").distinct()
-    stand = sketches.join(members, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    stand = written(spark, stand, "stand")
-    # Several rows under one doc_id: the node decides, not the id.
-    one = written(spark, sketches.join(stand, ["node", "doc_id"], "left_semi").dropDuplicates(["node"]), "nodes")
-    sets = written(spark, texts.join(stand.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-        full_sets(shingle), "node long, items array<long>").join(members, "node", "left_semi")
-        .dropDuplicates(["node"]), "sets")
+    stand = written(spark, sketches.join(lists.select("node").distinct(), "node", "left_semi")
+                    .groupBy("node").agg(F.min("row").alias("row")), "stand")
+    one = written(spark, sketches.join(stand.select("row"), "row", "left_semi").select("node", "n", "sketch"), "nodes")
+    sets = written(spark, texts.join(stand.select("row"), "row", "left_semi").mapInArrow(
+        full_sets(shingle), "node long, items array<long>"), "sets")
     least = least_overlap(k, percent, miss)
     edges, classes, open_lists = None, None, lists
     for turn in range(rounds + 1):
@@ -197,10 +195,10 @@ def crossing_pairs(lists: DataFrame) -> DataFrame:
 
 def labelled(sketches: DataFrame, classes: DataFrame) -> DataFrame:
     """Component labels back on all documents; an empty set stays by itself."""
-    some = sketches.where("n > 0").select("doc_id", "n", "node").join(classes, "node", "left").withColumn(
+    some = sketches.where("n > 0").select("row", "doc_id", "n", "node").join(classes, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    least = some.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    rows = some.join(least, "component").select("doc_id", "n", "component_id").union(
-        sketches.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    first = some.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    rows = some.join(first, "component").select("row", "doc_id", "n", F.col("first.doc_id").alias("component_id"),
+                                                (F.col("row") == F.col("first.row")).alias("kept"))
+    alone = sketches.where("n = 0").select("row", "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(True))
+    return rows.union(alone).withColumnRenamed("n", "n_shingles")

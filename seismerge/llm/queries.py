@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from seismerge.llm import oracle
 from seismerge.llm.decontaminate import decontaminate
 from seismerge.llm.exact_dedup import exact_dedup
@@ -45,7 +46,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(spark, table(spark, sf_dir, "documents"))
+    return near_dedup(spark, table(spark, sf_dir, "documents")).drop("row")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +58,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id(spark, table(spark, sf_dir, "documents"))
+    return language_id(spark, table(spark, sf_dir, "documents")).drop("row")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,4 +84,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_quality": (op10, None),
     "op8_repeats": (op8, None),
     "op3_lm_score": (op3, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
