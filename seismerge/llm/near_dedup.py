@@ -171,7 +171,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     sets = written(spark, texts.join(stand.select("row"), "row", "left_semi").mapInArrow(
         full_sets(shingle), "node long, items array<long>"), "sets")
     least = least_overlap(k, percent, miss)
-    edges, classes, open_lists = None, None, lists
+    edges, classes, open_lists = None, None, lists.select("value", "node", F.col("node").alias("component"))
     for turn in range(rounds + 1):
         if turn < rounds:
             pairs = star_pairs(open_lists, turn)
