@@ -2,24 +2,27 @@
 
 One hash function orders all shingles; a document's sketch is its ``k``
 smallest shingle hashes. Documents with equal shingle sets are one node from
-the start. Inverted lists of retained values generate candidates: values are
-ordered rarest first, and a node enters the lists of so few of its rarest
-values that two nodes whose sketches overlap enough still meet in one of them
-(a prefix filter on sketches). A node whose sketch has too few values in
-common with any other can have no link and enters no list, however common its
-remaining values are. The bottom-k of the union of two sketches estimates their
-similarity and drops clear misses; the rest are confirmed on full sets.
+the start. Inverted lists of retained values say how many of a node's values
+any other sketch holds; a node with too few of them can have no link and is
+done, whatever its other values are. The nodes left over get longer sketches
+(``LONG`` values; most of them are then whole sets) and lists again, now of
+nodes: values are ordered rarest first and a node enters only the lists of
+its rarest ones, so few that two linked nodes still must meet in one of them
+(prefix filter: a shorter prefix as the smaller set of a pair, a longer one
+as the larger). Pairs that meet in a list too late in either order to overlap
+enough are not formed. The bottom-k of the union of two sketches estimates
+their similarity and drops clear misses; the rest are confirmed on full sets.
 
 Sketches of sets with at most k shingles are the sets themselves, so nothing
 is estimated there. For longer ones the least overlap that still counts is
 taken so low that a pair at the threshold falls below it with a probability
 of at most ``MISS``.
 
-Within a list, links are first sought in a star around one node; linked
-nodes form components, and only pairs whose ends are still in different
-components are generated after that. A group of thousands of similar
-documents so costs one pair per member and not all its pairs, yet no link
-that would join two components is left out.
+Links are first sought in a star around each list's most central node (the
+one with the fewest values of its own); linked nodes form components, and
+after that only pairs whose ends are in different components are formed. A
+group of thousands of near copies so costs one pair per member, not all its
+pairs, and no link that would join two components is left out.
 
 Defined results: words are runs of non-blank bytes, A-Z in lower case; a
 document with fewer than ``SHINGLE`` words has its whole sequence as one
@@ -36,15 +39,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seismerge.llm.common import byte_sums, lower_ascii, mix, numbered, slices, space_words, span_hash, with_columns, written
 from seismerge.llm.components import connected_components
 
-SHINGLE, SKETCH, PERCENT, MISS = 5, 64, 85, 1e-9
-#: Star rounds, each around other nodes, before all remaining pairs across components are taken.
-ROUNDS = 2
+SHINGLE, SKETCH, LONG, PERCENT, MISS = 5, 64, 512, 85, 1e-9
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -111,88 +112,107 @@ def full_sets(size: int):
     return run
 
 
-def candidate_lists(spark: SparkSession, sketches: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
-    """(value, node): the entries of the inverted lists, prefix filter applied."""
+def least_shared(n: Column, k: int, percent: int, miss: float, exact: Column) -> Column:
+    """Values of a sketch that a linked partner's sketch must hold: ``exact``
+    where both are whole sets, the estimate's lower bound otherwise."""
+    return F.when(n * 100 <= k * percent, exact).otherwise(F.lit(least_overlap(k, percent, miss))).cast("int")
+
+
+def shared_values(spark: SparkSession, sketches: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+    """(node, n, kept, need, shared) of nodes that may have a link; ``shared``
+    are its values that occur in more than one sketch, rarest first."""
     values = sketches.where("n > 0").select("node", "n", F.explode("sketch").alias("value"))
     often = written(spark, values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "often")
-    kept = F.least(F.col("n"), F.lit(k))
-    need = F.when(kept * 100 <= k * percent, F.ceil(kept * percent / 100)).otherwise(
-        F.lit(least_overlap(k, percent, miss)))
-    own = (values.join(often, "value").groupBy("node", "n")
-           .agg(F.array_sort(F.collect_set(F.struct("often", "value"))).alias("shared"))
-           .withColumn("need", need).where(F.size("shared") >= F.col("need")))
-    # Of the kept values, those in no other sketch are the rarest; they use up the prefix first.
-    entries = own.select("node", F.explode(F.slice("shared", 1, (F.size("shared") - F.col("need") + 1).cast("int")))
-                         .alias("e")).select(F.col("e.value").alias("value"), "node")
-    return written(spark, entries, "lists")
-
-
-def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of each list's members with one of them, another one each turn."""
-    order = F.struct(F.xxhash64(F.col("node"), F.lit(turn)), F.col("node"))
-    centre = lists.groupBy("value").agg(F.min(order).alias("c")).select("value", F.col("c.node").alias("centre"))
+    need = least_shared(F.col("n"), k, percent, miss, F.ceil(F.col("n") * percent / 100))
+    return (values.join(often, "value").groupBy("node", "n")
+            .agg(F.array_sort(F.collect_set(F.struct("often", "value"))).alias("shared"))
+            .withColumn("kept", F.least(F.col("n"), F.lit(k)).cast("int")).withColumn("need", need)
+            .where(F.size("shared") >= F.col("need")))
+
+
+def prefix_lists(spark: SparkSession, sketches: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+    """(value, node, n, own, at, index): the inverted lists of rarest values. A
+    node's ``own`` values, those in no other sketch, come first in its order;
+    ``at`` is a value's place in it; ``index``: also in the prefix that serves
+    for partners at least as large."""
+    equal = least_shared(F.col("n"), k, percent, miss, F.ceil(F.col("n") * (2 * percent) / (100 + percent)))
+    rows = (shared_values(spark, sketches, k, percent, miss)
+            .withColumn("own", F.col("kept") - F.size("shared")).withColumn("equal", equal)
+            .select("node", "n", "own", "kept", "equal", F.posexplode(F.slice(
+                "shared", 1, F.size("shared") - F.col("need") + 1)).alias("place", "v")))
+    at = F.col("own") + F.col("place")
+    return written(spark, rows.select(F.col("v.value").alias("value"), "node", "n", "own", at.alias("at"),
+                                      (at <= F.col("kept") - F.col("equal")).alias("index")), "lists")
+
+
+def star_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each list's members with its most central one."""
+    centre = lists.groupBy("value").agg(F.min(F.struct("own", "node")).alias("c")).select(
+        "value", F.col("c.node").alias("centre"))
     return lists.join(centre, "value").where("node <> centre").select(
         F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
-def links(spark: SparkSession, pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, percent: int,
-          least: int) -> DataFrame:
-    """The pairs that are linked: estimated on union sketches, confirmed on full sets."""
-    mine = sketches.select("node", "n", "sketch")
-    both = (pairs.join(mine.toDF("a", "na", "sa"), "a").join(mine.toDF("b", "nb", "sb"), "b")
+def crossing_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs of a list in different components that may still be linked: sizes
+    close enough, and enough values left after the one they share."""
+    x = lists.where("index").select("value", *[F.col(c).alias(c + "_x") for c in ("node", "n", "at", "component")])
+    y = lists.select("value", *[F.col(c).alias(c + "_y") for c in ("node", "n", "at", "component")])
+    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    enough = (F.col("n_y") > k) | (left * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)
+    return (x.join(y, ["value"]).where((F.col("component_x") != F.col("component_y")) & enough
+                                       & (F.col("n_x") * 100 >= F.col("n_y") * percent)
+                                       & ((F.col("n_x") < F.col("n_y"))
+                                          | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") != F.col("node_y")))))
+            .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct())
+
+
+def links(spark: SparkSession, pairs: DataFrame, sets: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+    """The linked pairs: estimated on union sketches, confirmed on full sets."""
+    sketch = sets.select("node", F.size("items").alias("n"), F.slice("items", 1, k).alias("s"))
+    both = (pairs.join(sketch.toDF("a", "na", "sa"), "a").join(sketch.toDF("b", "nb", "sb"), "b")
             .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
     bottom = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    same = F.size(F.array_intersect(bottom, F.array_intersect("sa", "sb")))
+    same = F.size(F.array_intersect("sa", "sb"))
     whole = (F.col("na") <= k) & (F.col("nb") <= k)
-    union = F.size(F.array_union("sa", "sb"))
-    maybe = F.when(whole, F.size(F.array_intersect("sa", "sb")) * 100 >= union * percent).otherwise(same >= least)
-    likely = both.where(maybe).select("a", "b", whole.alias("whole"))
-    likely = written(spark, likely, "likely")
+    maybe = F.when(whole, same * 100 >= (F.col("na") + F.col("nb") - same) * percent).otherwise(
+        F.size(F.array_intersect(bottom, F.array_intersect("sa", "sb"))) >= least_overlap(k, percent, miss))
+    likely = written(spark, both.where(maybe).select("a", "b", whole.alias("whole")), "likely")
+    inter = F.size(F.array_intersect("ia", "ib"))
     full = (likely.where("not whole").join(sets.toDF("a", "ia"), "a").join(sets.toDF("b", "ib"), "b")
-            .withColumn("inter", F.size(F.array_intersect("ia", "ib")))
-            .where(F.col("inter") * 100 >= (F.size("ia") + F.size("ib") - F.col("inter")) * percent))
-    return likely.where("whole").select("a", "b").union(full.select("a", "b"))
+            .where(inter * 100 >= (F.size("ia") + F.size("ib") - inter) * percent))
+    return written(spark, likely.where("whole").select("a", "b").union(full.select("a", "b")), "links")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               shingle: int = SHINGLE, k: int = SKETCH, percent: int = PERCENT, miss: float = MISS,
-               rounds: int = ROUNDS) -> DataFrame:
+               shingle: int = SHINGLE, k: int = SKETCH, long: int = LONG, percent: int = PERCENT,
+               miss: float = MISS) -> DataFrame:
     """row (the input's position), doc_id, n_shingles, component_id, kept:
     documents linked when 100 * intersection >= percent * union; the smallest
     id of a component stays, or of rows that share it the first."""
-    texts = docs.select(numbered(spark).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(numbered(spark).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                        F.col(text_col).cast("string").alias("text"))
     sketches = written(spark, texts.mapInArrow(
         sketcher(shingle, k), "row long, doc_id long, n long, node long, sketch array<long>"), "sketches")
-    lists = candidate_lists(spark, sketches, k, percent, miss)
-    # One document stands for each node that may have links.
-    stand = written(spark, sketches.join(lists.select("node").distinct(), "node", "left_semi")
-                    .groupBy("node").agg(F.min("row").alias("row")), "stand")
-    one = written(spark, sketches.join(stand.select("row"), "row", "left_semi").select("node", "n", "sketch"), "nodes")
-    sets = written(spark, texts.join(stand.select("row"), "row", "left_semi").mapInArrow(
+    maybe = written(spark, shared_values(spark, sketches, k, percent, miss).select("node"), "maybe")
+    # One document stands for each node.
+    stand = written(spark, sketches.join(maybe, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+                    .select("row"), "stand")
+    sets = written(spark, texts.join(stand, "row", "left_semi").mapInArrow(
         full_sets(shingle), "node long, items array<long>"), "sets")
-    least = least_overlap(k, percent, miss)
-    edges, classes, open_lists = None, None, lists.select("value", "node", F.col("node").alias("component"))
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            pairs = star_pairs(open_lists, turn)
-        else:
-            pairs = crossing_pairs(open_lists)
-        found = written(spark, links(spark, written(spark, pairs, "pairs"), one, sets, k, percent, least), "links")
-        edges = found if edges is None else edges.union(found)
-        classes = written(spark, connected_components(spark, edges), "classes")
-        grouped = lists.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = grouped.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        if turn < rounds:
-            open_lists = written(spark, grouped.join(several.select("value"), "value", "left_semi"), "open")
+    lists = prefix_lists(spark, sets.select("node", F.size("items").cast("long").alias("n"),
+                                            F.slice("items", 1, long).alias("sketch")), long, percent, miss)
+    found = links(spark, written(spark, star_pairs(lists), "pairs"), sets, long, percent, miss)
+    classes = written(spark, connected_components(spark, found), "classes")
+    grouped = lists.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = (grouped.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+               .where("x <> y").select("value"))
+    still = written(spark, grouped.join(several, "value", "left_semi"), "open")
+    more = links(spark, written(spark, crossing_pairs(still, long, percent), "pairs"), sets, long, percent, miss)
+    classes = written(spark, connected_components(spark, found.union(more)), "classes")
     return labelled(sketches, classes)
 
 
-def crossing_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of a list whose ends are in different components."""
-    other = lists.toDF("value", "b", "cb")
-    return lists.toDF("value", "a", "ca").join(other, "value").where("a < b and ca <> cb").select("a", "b").distinct()
-
-
 def labelled(sketches: DataFrame, classes: DataFrame) -> DataFrame:
     """Component labels back on all documents; an empty set stays by itself."""
     some = sketches.where("n > 0").select("row", "doc_id", "n", "node").join(classes, "node", "left").withColumn(

@@ -96,13 +96,13 @@ def chain(seed, n, words=200, step=6):
     return out
 
 
-@pytest.mark.parametrize("k,rounds", [(64, 2), (32, 0), (16, 1)])
-def test_near_chains(spark, k, rounds):
+@pytest.mark.parametrize("k,long", [(64, 512), (32, 100), (16, 220)])
+def test_near_chains(spark, k, long):
     line = " ".join(f"common{i}" for i in range(60))
     texts = [t for s in range(4) for t in chain(s, 12)] + [f"{line} {prose(50 + i, 60)}" for i in range(40)]
     ids = list(range(len(texts)))
     random.Random(0).shuffle(ids)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup(spark, frame(spark, texts, ids), k=k, rounds=rounds).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup(spark, frame(spark, texts, ids), k=k, long=long).collect()}
     assert got == brute_near(texts, ids)
 
 
