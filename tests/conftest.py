@@ -24,7 +24,7 @@ T0 = datetime(2025, 1, 1, 12, 0, 0, tzinfo=timezone.utc)
 
 def ev(source, t, lat, lon, mag=None, mag_type="ML", depth=10.0, place=None, province=None,
        district=None, event_id=None):
-    """A canonical report, shaped like the reference tests' helper."""
+    """A canonical report."""
     return (source, event_id or f"{source}-{t.isoformat()}", t, float(lat), float(lon), depth,
             None if mag is None else float(mag), mag_type, place, province, district)
 

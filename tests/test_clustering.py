@@ -1,4 +1,4 @@
-"""Clustering: the reference's cases plus boundaries and scan modes."""
+"""Clustering: joins, separations, boundaries and scan modes."""
 
 from pyspark.sql import functions as F
 
@@ -12,82 +12,82 @@ def facts(spark, rows, scan="creation_break", **kw):
             C.dedupe(reports_df(spark, rows), as_of="2025-02-01", scan=scan, **kw).collect()]
 
 
-def test_three_sources_collapse_into_single_cluster(spark):
-    out = facts(spark, [ev("AFAD", T0, 40.62, 29.02, 4.3), ev("KOERI", T0 + secs(4), 40.63, 29.01, 4.1),
-                        ev("EMSC", T0 + secs(10), 40.62, 29.03, 4.4)])
+def test_reports_of_three_agencies_are_one_event(spark):
+    out = facts(spark, [ev("AFAD", T0, 39.37, 30.55, 5.2), ev("KOERI", T0 + secs(7), 39.38, 30.54, 5.0),
+                        ev("EMSC", T0 + secs(13), 39.37, 30.56, 5.3)])
     assert len(out) == 1
     r = out[0]
     assert r["agreement_level"] == 3 and set(r["sources"]) == {"AFAD", "KOERI", "EMSC"}
-    assert r["preferred_source"] == "AFAD" and r["magnitude"] == 4.3
+    assert r["preferred_source"] == "AFAD" and r["magnitude"] == 5.2
     assert r["first_seen_at"].replace(tzinfo=None) == T0.replace(tzinfo=None)
 
 
-def test_two_events_ten_minutes_apart_stay_split(spark):
-    out = facts(spark, [ev("AFAD", T0, 40.0, 29.0, 3.5), ev("AFAD", T0 + secs(600), 40.0, 29.0, 3.6)])
+def test_a_gap_of_ten_minutes_separates(spark):
+    out = facts(spark, [ev("AFAD", T0, 38.5, 31.25, 3.5), ev("AFAD", T0 + secs(640), 38.5, 31.25, 3.6)])
     assert len(out) == 2 and all(r["agreement_level"] == 1 for r in out)
 
 
-def test_distant_simultaneous_events_split(spark):
-    assert len(facts(spark, [ev("AFAD", T0, 40.0, 29.0, 3.0), ev("AFAD", T0, 38.0, 27.0, 3.0)])) == 2
+def test_far_reports_at_one_time_separate(spark):
+    assert len(facts(spark, [ev("AFAD", T0, 38.5, 31.25, 3.0), ev("AFAD", T0, 36.25, 28.5, 3.0)])) == 2
 
 
-def test_magnitude_within_tolerance_collapses(spark):
-    out = facts(spark, [ev("AFAD", T0, 40.62, 29.02, 4.3), ev("USGS", T0 + secs(12), 40.63, 29.03, 5.1, "Mw")])
+def test_magnitudes_less_than_one_apart_join(spark):
+    out = facts(spark, [ev("AFAD", T0, 39.37, 30.55, 5.2), ev("USGS", T0 + secs(18), 39.38, 30.56, 6.1, "Mw")])
     assert len(out) == 1 and out[0]["preferred_source"] == "AFAD" and out[0]["agreement_level"] == 2
 
 
-def test_magnitude_beyond_tolerance_splits(spark):
-    assert len(facts(spark, [ev("AFAD", T0, 40.62, 29.02, 2.0), ev("USGS", T0 + secs(12), 40.63, 29.03, 5.5)])) == 2
+def test_magnitudes_far_apart_separate(spark):
+    assert len(facts(spark, [ev("AFAD", T0, 39.37, 30.55, 1.7), ev("USGS", T0 + secs(17), 39.38, 30.56, 4.9)])) == 2
 
 
-def test_preferred_source_priority(spark):
-    out = facts(spark, [ev("USGS", T0, 40.0, 29.0, 4.0), ev("KOERI", T0 + secs(5), 40.01, 29.01, 4.1),
-                        ev("EMSC", T0 + secs(8), 40.0, 29.0, 4.2)])
+def test_local_agency_is_preferred(spark):
+    out = facts(spark, [ev("USGS", T0, 38.5, 31.25, 4.0), ev("KOERI", T0 + secs(5), 38.51, 31.26, 5.0),
+                        ev("EMSC", T0 + secs(8), 38.5, 31.25, 4.2)])
     assert len(out) == 1 and out[0]["preferred_source"] == "KOERI"
 
 
-def test_event_uid_stable_and_24_hex(spark):
-    rows = [ev("AFAD", T0, 40.62, 29.02, 4.3)]
+def test_uid_is_the_seed_hash(spark):
+    rows = [ev("AFAD", T0, 39.37, 30.55, 5.2)]
     a, b = facts(spark, rows)[0]["event_uid"], facts(spark, rows)[0]["event_uid"]
     assert a == b and len(a) == 24
     import hashlib
-    seed = f"{int(T0.timestamp() // 90) * 90}|40.62|29.02"
+    seed = f"{int(T0.timestamp() // 90) * 90}|39.37|30.55"
     assert a == hashlib.sha1(seed.encode()).hexdigest()[:24]
 
 
-def test_source_values_per_source(spark):
-    out = facts(spark, [ev("AFAD", T0, 40.62, 29.02, 4.3, place="Yalova (TR)"),
-                        ev("KOERI", T0 + secs(5), 40.63, 29.01, 4.1, place="MARMARA DENIZI")])
+def test_each_agency_keeps_its_own_values(spark):
+    out = facts(spark, [ev("AFAD", T0, 39.37, 30.55, 5.2, place="Golhisar"),
+                        ev("KOERI", T0 + secs(5), 39.38, 30.54, 5.0, place="EGE ACIGI")])
     sv = out[0]["source_values"]
-    assert set(sv) == {"AFAD", "KOERI"} and sv["AFAD"]["magnitude"] == 4.3
-    assert sv["KOERI"]["magnitude"] == 4.1 and sv["KOERI"]["place"] == "MARMARA DENIZI"
+    assert set(sv) == {"AFAD", "KOERI"} and sv["AFAD"]["magnitude"] == 5.2
+    assert sv["KOERI"]["magnitude"] == 5.0 and sv["KOERI"]["place"] == "EGE ACIGI"
     assert sv["AFAD"]["event_time"] == "2025-01-01T12:00:00+00:00"
 
 
-def test_summary_histogram(spark):
-    rows = [ev("AFAD", T0, 40.62, 29.02, 4.3), ev("KOERI", T0 + secs(4), 40.63, 29.01, 4.1),
-            ev("EMSC", T0 + secs(10), 40.62, 29.03, 4.4), ev("USGS", T0 + secs(1800), 38.0, 27.0, 5.5)]
+def test_levels_are_counted(spark):
+    rows = [ev("AFAD", T0, 39.37, 30.55, 5.2), ev("KOERI", T0 + secs(7), 39.38, 30.54, 5.0),
+            ev("EMSC", T0 + secs(13), 39.37, 30.56, 5.3), ev("USGS", T0 + secs(2400), 36.25, 28.5, 5.5)]
     f = C.dedupe(reports_df(spark, rows))
     hist = {r.agreement_level: r.n_events for r in agreement_histogram(f).collect()}
     assert hist == {3: 1, 1: 1}
 
 
 def test_exact_window_joins_and_just_over_splits(spark):
-    assert len(facts(spark, [ev("AFAD", T0, 40.0, 29.0, 3.0), ev("EMSC", T0 + secs(90), 40.0, 29.0, 3.0)])) == 1
+    assert len(facts(spark, [ev("AFAD", T0, 38.5, 31.25, 3.0), ev("EMSC", T0 + secs(90), 38.5, 31.25, 3.0)])) == 1
     from datetime import timedelta
     later = T0 + timedelta(seconds=90, microseconds=1)
-    assert len(facts(spark, [ev("AFAD", T0, 40.0, 29.0, 3.0), ev("EMSC", later, 40.0, 29.0, 3.0)])) == 2
+    assert len(facts(spark, [ev("AFAD", T0, 38.5, 31.25, 3.0), ev("EMSC", later, 38.5, 31.25, 3.0)])) == 2
 
 
 def test_null_magnitude_skips_the_magnitude_test(spark):
-    out = facts(spark, [ev("AFAD", T0, 40.0, 29.0, None), ev("EMSC", T0 + secs(5), 40.0, 29.0, 6.0),
-                        ev("USGS", T0 + secs(9), 40.0, 29.0, None)])
+    out = facts(spark, [ev("AFAD", T0, 38.5, 31.25, None), ev("EMSC", T0 + secs(5), 38.5, 31.25, 6.0),
+                        ev("USGS", T0 + secs(9), 38.5, 31.25, None)])
     assert len(out) == 1 and out[0]["agreement_level"] == 3
 
 
 def test_last_report_of_an_agency_wins_in_source_values(spark):
-    out = facts(spark, [ev("AFAD", T0, 40.0, 29.0, 3.0, event_id="a1"),
-                        ev("AFAD", T0 + secs(20), 40.0, 29.0, 3.2, event_id="a2")])
+    out = facts(spark, [ev("AFAD", T0, 38.5, 31.25, 3.0, event_id="a1"),
+                        ev("AFAD", T0 + secs(20), 38.5, 31.25, 3.2, event_id="a2")])
     assert len(out) == 1 and out[0]["source_values"]["AFAD"]["event_id"] == "a2"
     assert out[0]["agreement_level"] == 1
 
@@ -95,15 +95,15 @@ def test_last_report_of_an_agency_wins_in_source_values(spark):
 def test_scan_modes_differ_as_documented(spark):
     # A0(0 s), far B(1 s), A1(80 s), A2(120 s): the creation-order break
     # misses A0's cluster for A2; the window rule does not.
-    rows = [ev("AFAD", T0, 40.0, 29.0, 3.0, event_id="A0"), ev("AFAD", T0 + secs(1), 30.0, 20.0, 3.0, event_id="B"),
-            ev("AFAD", T0 + secs(80), 40.0, 29.0, 3.0, event_id="A1"),
-            ev("AFAD", T0 + secs(120), 40.0, 29.0, 3.0, event_id="A2")]
+    rows = [ev("AFAD", T0, 38.5, 31.25, 3.0, event_id="A0"), ev("AFAD", T0 + secs(1), 28.0, 19.0, 3.0, event_id="B"),
+            ev("AFAD", T0 + secs(80), 38.5, 31.25, 3.0, event_id="A1"),
+            ev("AFAD", T0 + secs(120), 38.5, 31.25, 3.0, event_id="A2")]
     assert len(facts(spark, rows, "creation_break")) == 3
     assert len(facts(spark, rows, "window")) == 2
 
 
 def test_thresholds_are_parameters(spark):
-    rows = [ev("AFAD", T0, 40.0, 29.0, 3.0), ev("EMSC", T0 + secs(60), 40.0, 29.0, 3.0)]
+    rows = [ev("AFAD", T0, 38.5, 31.25, 3.0), ev("EMSC", T0 + secs(60), 38.5, 31.25, 3.0)]
     assert len(facts(spark, rows, dt_window_s=30.0)) == 2
 
 
@@ -112,7 +112,7 @@ def test_empty_input(spark):
 
 
 def test_sessions_split_only_on_gaps_over_window(spark):
-    rows = [ev("AFAD", T0 + secs(s), 40.0, 29.0, 3.0, event_id=str(s)) for s in (0, 90, 180, 271, 5000)]
+    rows = [ev("AFAD", T0 + secs(s), 38.5, 31.25, 3.0, event_id=str(s)) for s in (0, 90, 180, 271, 5000)]
     s = C.time_sessions(reports_df(spark, rows))
     got = {r.event_id: r.session for r in s.collect()}
     assert got["0"] == got["90"] == got["180"] and got["271"] != got["180"] and got["5000"] != got["271"]
@@ -137,8 +137,8 @@ def test_priority_constant_is_local_first():
 
 
 def test_spatial_blocks_split_far_reports_and_fall_back_near_poles(spark):
-    near = [ev("AFAD", T0, 40.0, 29.0, 3.0, event_id="a"), ev("EMSC", T0 + secs(5), 40.1, 29.1, 3.0, event_id="b"),
-            ev("USGS", T0 + secs(10), 10.0, 100.0, 3.0, event_id="far")]
+    near = [ev("AFAD", T0, 38.5, 31.25, 3.0, event_id="a"), ev("EMSC", T0 + secs(5), 38.6, 31.35, 3.0, event_id="b"),
+            ev("USGS", T0 + secs(13), 10.0, 100.0, 3.0, event_id="far")]
     s = C.time_sessions(reports_df(spark, near))
     blocks = {r.event_id: r.block for r in C.spatial_blocks(s).collect()}
     assert blocks["a"] == blocks["b"] != blocks["far"]

@@ -19,43 +19,39 @@ def hav(a, b, c, d):
     return 2 * 6371.0088 * math.asin(min(1.0, math.sqrt(x)))
 
 
+def mean(values):
+    total = 0.0
+    for v in values:
+        total += v
+    return total / len(values)
+
+
+def reachable(clusters, when, scan):
+    """Clusters, newest first, that a report at ``when`` may look at, with their gap."""
+    gaps = [(c, (when - max(m[2] for m in c)).total_seconds()) for c in reversed(clusters)]
+    if scan == "creation_break":
+        stale = next((k for k, (_, gap) in enumerate(gaps) if gap > 90), len(gaps))
+        return gaps[:stale]
+    return [(c, gap) for c, gap in gaps if gap <= 90]
+
+
+def fits(report, cluster):
+    near = hav(report[3], report[4], mean([m[3] for m in cluster]), mean([m[4] for m in cluster])) <= 50
+    known = [m[6] for m in cluster if m[6] is not None]
+    return near and (report[6] is None or not known or abs(report[6] - mean(known)) <= 1.0)
+
+
 def plain(rows, scan):
-    rows = sorted(rows, key=lambda r: (r[2], PRIO[r[0]], r[0], r[1]))
+    """Of the clusters that fit, a report takes the one with the least gap, the
+    newest of equals; without one it opens its own."""
     clusters = []
-    out = {}
-    for r in rows:
-        best = None
-        for c in reversed(clusters):
-            dt = (r[2] - max(m[2] for m in c)).total_seconds()
-            if dt > 90:
-                if scan == "creation_break":
-                    break
-                continue
-            lat = 0.0
-            lon = 0.0
-            for m in c:
-                lat += m[3]
-                lon += m[4]
-            if hav(r[3], r[4], lat / len(c), lon / len(c)) > 50:
-                continue
-            mags = [m[6] for m in c if m[6] is not None]
-            if r[6] is not None and mags:
-                s = 0.0
-                for m in mags:
-                    s += m
-                if abs(r[6] - s / len(mags)) > 1.0:
-                    continue
-            if best is None or dt < best[0]:
-                best = (dt, c)
-        if best is None:
-            clusters.append([r])
+    for r in sorted(rows, key=lambda r: (r[2], PRIO[r[0]], r[0], r[1])):
+        options = [(gap, age, c) for age, (c, gap) in enumerate(reachable(clusters, r[2], scan)) if fits(r, c)]
+        if options:
+            min(options, key=lambda o: o[:2])[2].append(r)
         else:
-            best[1].append(r)
-    for c in clusters:
-        head = c[0][1]
-        for m in c:
-            out[m[1]] = head
-    return out
+            clusters.append([r])
+    return {m[1]: c[0][1] for c in clusters for m in c}
 
 
 @pytest.mark.parametrize("scan", ["creation_break", "window"])
