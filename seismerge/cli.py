@@ -34,12 +34,17 @@ from .streaming.tables import SnapshotTable
 
 def _tables(root: str) -> dict[str, SnapshotTable]:
     return {n: SnapshotTable(os.path.join(root, n))
-            for n in ("raw", "silver", "facts", "docs", "watermarks", "quarantine")}
+            for n in ("raw", "silver", "facts", "docs", "watermarks")}
+
+
+VIEWS = {"latest": V.latest_events, "disagreement": V.disagreement, "drilldown": V.drilldown,
+         "by_province": A.by_province, "agreement": A.agreement_histogram, "agreement_terms": A.agreement_terms,
+         "province_ranking": A.province_ranking, "magnitude_over_time": A.magnitude_over_time}
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="seismerge")
-    ap.add_argument("job", choices=["replay", "ingest", "harmonize", "dedupe", "sync", "quality", "view",
+    ap.add_argument("job", choices=["replay", "historical", "ingest", "harmonize", "dedupe", "sync", "quality", "view",
                                     "ingest-log", "harmonize-log", "dedupe-days", "sync-days"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--archive")
@@ -51,20 +56,24 @@ def main(argv=None) -> None:
     ap.add_argument("--touched-since")
     ap.add_argument("--out")
     ap.add_argument("--name", default="latest")
+    ap.add_argument("--min-mag", type=float, default=1.0)
+    ap.add_argument("--table", choices=["snapshot", "day"], default="snapshot")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
     t = _tables(a.root)
+    bad = J.Quarantine(os.path.join(a.root, "quarantine"))
     if a.job.endswith(("-log", "-days")):
         from .streaming import logjobs as L
-        from .streaming.tables import DayTable
+        from .streaming.tables import DayTable, KeyIndex
         d = {n: DayTable(os.path.join(a.root, "days", n)) for n in ("silver", "facts", "docs")}
         log = DayTable(os.path.join(a.root, "days", "raw_log"), "ingest_day")
         if a.job == "ingest-log":
-            J.live_ingest_stream(spark, a.landing, log, os.path.join(a.root, "_log_ckpt")) \
+            J.live_ingest_stream(spark, a.landing, log, os.path.join(a.root, "_log_ckpt"), quarantine=bad) \
                 .awaitTermination()
         elif a.job == "harmonize-log":
-            print(L.harmonize_from_log(spark, log, d["silver"], t["watermarks"], a.as_of))
+            print(L.harmonize_from_log(spark, log, d["silver"], KeyIndex(os.path.join(a.root, "days", "keys")),
+                                       t["watermarks"], a.as_of, bad))
         elif a.job == "dedupe-days":
             f = L.dedupe_days(spark, d["silver"], d["facts"], a.as_of, a.touched_since or "1970-01-01",
                               a.days, a.scan)
@@ -73,12 +82,14 @@ def main(argv=None) -> None:
             print(L.sync_days(spark, d["facts"], d["docs"], t["watermarks"], a.as_of))
         return
     if a.job == "replay":
-        J.replay(spark, a.archive, t["raw"], a.sources)
+        J.replay(spark, a.archive, t["raw"], a.sources, a.as_of, bad)
+    elif a.job == "historical":
+        J.historical_load(spark, a.archive, t["raw"], a.min_mag, a.sources, a.as_of, bad)
     elif a.job == "ingest":
-        J.live_ingest_stream(spark, a.landing, t["raw"], os.path.join(a.root, "_ingest_ckpt")) \
+        J.live_ingest_stream(spark, a.landing, t["raw"], os.path.join(a.root, "_ingest_ckpt"), quarantine=bad) \
             .awaitTermination()
     elif a.job == "harmonize":
-        print(J.harmonize_increment(spark, t["raw"], t["silver"], t["watermarks"], a.as_of))
+        print(J.harmonize_increment(spark, t["raw"], t["silver"], t["watermarks"], a.as_of, bad))
     elif a.job == "dedupe":
         f = J.dedupe_job(spark, t["silver"], t["facts"], a.as_of, a.days, a.scan, a.touched_since)
         A.agreement_histogram(f).orderBy("agreement_level").show()
@@ -87,14 +98,18 @@ def main(argv=None) -> None:
         if a.out:
             write_documents(to_documents(t["facts"].read(spark)), a.out)
         print(n)
-    elif a.job == "quality":
-        quality_report(t["raw"].read(spark), t["silver"].read(spark), t["facts"].read(spark),
-                       a.as_of).show(truncate=False)
-    elif a.job == "view":
-        f = t["facts"].read(spark)
-        df = {"latest": V.latest_events, "disagreement": V.disagreement,
-              "by_province": A.by_province}[a.name](f)
-        df.show(50, truncate=False)
+    elif a.job in ("quality", "view"):
+        if a.table == "day":
+            from .streaming import logjobs as L
+            from .streaming.tables import DayTable
+            raw = L.raw_view(DayTable(os.path.join(a.root, "days", "raw_log"), "ingest_day").read(spark))
+            silver, f = (DayTable(os.path.join(a.root, "days", n)).read(spark).drop("day") for n in ("silver", "facts"))
+        else:
+            raw, silver, f = (t[n].read(spark) for n in ("raw", "silver", "facts"))
+        if a.job == "quality":
+            quality_report(raw, silver, f, a.as_of).show(truncate=False)
+        else:
+            VIEWS[a.name](f).show(50, truncate=False)
 
 
 if __name__ == "__main__":

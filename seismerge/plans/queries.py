@@ -539,12 +539,22 @@ def q_map(spark, sf):
 
 
 @register("response_cap", R + """SELECT source, event_id FROM raw_meta
-  QUALIFY row_number() OVER (PARTITION BY source, archive_uri ORDER BY event_time DESC, event_id DESC) <= 50""")
+  QUALIFY source IN ('AFAD', 'KOERI')
+    OR row_number() OVER (PARTITION BY source, archive_uri ORDER BY event_time DESC, event_id DESC) <= 50""")
 def q_cap(spark, sf):
-    caps = {s: FL.FLOW_CAP for s in ("AFAD", "KOERI", "EMSC", "USGS")}
+    """The flow caps the EMSC and USGS feeds; AFAD and KOERI pass whole."""
+    caps = {s: FL.FLOW_CAP for s in ("EMSC", "USGS")}
     return FL.response_cap(_silver(spark, sf), caps, group=["archive_uri"]).select("source", "event_id")
 
 
+@register("historical_cap", R + """SELECT source, event_id FROM raw_meta
+  QUALIFY source NOT IN ('EMSC', 'USGS') OR row_number() OVER (PARTITION BY source
+    ORDER BY event_time DESC, event_id DESC) <= CASE source WHEN 'EMSC' THEN 5000 ELSE 20000 END""")
+def q_historical_cap(spark, sf):
+    """The caps of one historical request per feed."""
+    return FL.response_cap(_silver(spark, sf)).select("source", "event_id")
+
+
 # --- S10, S11 ----------------------------------------------------------------
 
 @register("search_documents", FB + f"""SELECT event_uid, {O.iso_utc('t_min')} AS event_time,

@@ -57,10 +57,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``; only when it is unset
     (local runs and tests) do we make our own under the system temp folder.
+    On a cluster that folder would be each machine's own, so there it is an
+    error not to name one.
     """
     d = (spark.conf.get("spark.checkpoint.dir", None)
          or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
          or spark.sparkContext.getCheckpointDir())
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="seismerge-ckpt-")
         try:

@@ -32,12 +32,16 @@ def scan_archive(spark: SparkSession, root: str, sources: list[str] | str | None
     ``received_at`` defaults to the file's modification time.
     """
     srcs = selected_sources(sources) if isinstance(sources, str) or sources is None else sources
-    globs = [f"{root.rstrip('/')}/{s}/*/*" for s in srcs]
-    df = (spark.read.format("binaryFile")
-          .option("pathGlobFilter", "*.{json,html}")
-          .load(globs) if globs else None)
+    # Whole source folders, listed by Spark; a source that never landed
+    # anything has none and is skipped.
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folders = [f"{root.rstrip('/')}/{s}" for s in srcs]
+    there = [f for f in folders if (p := jvm.org.apache.hadoop.fs.Path(f)).getFileSystem(conf).exists(p)]
+    if not there:
+        return spark.createDataFrame([], "source string, day string, ext string, archive_uri string, "
+                                         "received_at timestamp, content binary")
     path = F.col("path")
-    out = df.select(
+    out = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(there)).select(
         F.regexp_extract(path, _PATH_RE, 1).alias("source"),
         F.regexp_extract(path, _PATH_RE, 2).alias("day"),
         F.regexp_extract(path, _PATH_RE, 4).alias("ext"),
@@ -45,7 +49,9 @@ def scan_archive(spark: SparkSession, root: str, sources: list[str] | str | None
         (F.lit(received_at).cast("timestamp") if received_at is not None
          else F.col("modificationTime")).alias("received_at"),
         F.col("content"))
-    return out.where(F.col("source").isin(*SOURCE_PRIORITY))
+    # A file whose path does not fit the layout has no source; the parser
+    # quarantines it.
+    return out.where(F.col("source").isin(*SOURCE_PRIORITY, ""))
 
 
 def archive_sink(responses: DataFrame, path: str) -> None:
@@ -65,23 +71,9 @@ def scan_archive_table(spark: SparkSession, path: str, sources: list[str] | str
             .select("source", "day", "archive_uri", "received_at", "content"))
 
 
-def land_files(responses: DataFrame, root: str) -> list[str]:
-    """Write each response as its own file under the archive layout (what
-    an external fetcher does). Test helper: it brings the bytes to the
-    driver, so use it on small fixtures only."""
-    import os
-    out = []
-    for r in responses.select("source", "archive_uri", "content").toLocalIterator():
-        rel = r.archive_uri.split("://", 1)[-1].split("/", 1)[-1]
-        p = os.path.join(root, rel)
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-        with open(p, "wb") as fh:
-            fh.write(bytes(r.content))
-        out.append(p)
-    return out
-
-
 def raw_sink(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Raw rows as Parquet partitioned by source."""
+    """Raw rows as Parquet by source and day of receipt, so that checks of
+    recent rows and increments open recent files only."""
     (raw.select("source", "event_id", "payload", "received_at", "archive_uri")
-     .write.mode(mode).partitionBy("source").parquet(path))
+     .withColumn("day", F.to_date("received_at")).repartition("source", "day")
+     .write.mode(mode).partitionBy("source", "day").parquet(path))

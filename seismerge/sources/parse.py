@@ -18,10 +18,11 @@ JSON_SOURCES = ("AFAD", "EMSC", "USGS")
 
 # Python's str.splitlines() line boundaries.
 _LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
-# One KOERI catalogue line: date time lat lon depth md ml mw rest.
-_KOERI_LINE = (r"(?U)^\s*(\d{4}\.\d{2}\.\d{2})\s+(\d{2}:\d{2}:\d{2})\s+"
-               r"(-?\d+\.\d+)\s+(-?\d+\.\d+)\s+(-?\d+\.\d+)\s+"
-               r"([\-.\d]+)\s+([\-.\d]+)\s+([\-.\d]+)\s+(.+?)\s*$")
+# What the first eight blank-separated tokens of a KOERI catalogue line look
+# like (date, time, three decimals, three scales that may be "-.-").
+_DECIMAL, _SCALE = r"(?U)^-?\d+[.]\d+$", r"(?U)^[\d.-]+$"
+_KOERI_TOKENS = (r"(?U)^\d{4}([.]\d\d){2}$", r"(?U)^\d\d(:\d\d){2}$", _DECIMAL, _DECIMAL, _DECIMAL,
+                 _SCALE, _SCALE, _SCALE)
 # Trailing words taken as KOERI's solution-quality tag.
 KOERI_QUALITY_WORDS = ("manual", "automatic", "auto", "revised")
 
@@ -29,7 +30,13 @@ _META = ["source", "received_at", "archive_uri"]
 
 
 def _json_text(content: Column) -> Column:
-    return F.decode(content, "UTF-8")
+    """The response's text, null if its bytes are not UTF-8."""
+    return F.try_validate_utf8(content.cast("string"))
+
+
+def _json_kind(text: Column) -> Column:
+    """Not null for valid JSON, also with a repeated key (the last one counts)."""
+    return F.get_json_object(text, "$")
 
 
 def _json_elements(source: Column, text: Column) -> Column:
@@ -72,12 +79,16 @@ def json_split_evaluate(responses: DataFrame, split_path: str, id_path: str,
 
 def parse_json_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(raw rows, quarantined responses) for the JSON agencies."""
-    r = responses.where(F.col("source").isin(*JSON_SOURCES)) \
+    r = responses.where(F.col("source").isin(*JSON_SOURCES, "")) \
         .select(*_META, _json_text(F.col("content")).alias("text"))
     empty_ok = (F.col("source") != "AFAD") & (F.trim(F.col("text")) == "")
-    bad = F.try_parse_json(F.col("text")).isNull() & ~empty_ok
-    quarantine = r.where(bad).select(*_META, F.lit("invalid json").alias("reason"))
-    rows = (r.where(~bad)
+    shape = F.regexp_extract("text", r"(?s)^\s*(.)", 1)
+    reason = (F.when(F.col("source") == "", "unknown layout").when(F.col("text").isNull(), "invalid utf-8")
+              .when(empty_ok, None).when(_json_kind(F.col("text")).isNull(), "invalid json")
+              .when(~shape.isin("{", "["), "not a list or object"))
+    r = r.withColumn("reason", reason)
+    quarantine = r.where("reason is not null").select(*_META, "reason")
+    rows = (r.where("reason is null")
             .select(*_META, F.posexplode(_json_elements(F.col("source"), F.col("text")))
                     .alias("ordinal", "payload"))
             .withColumn("event_id", _json_event_id(F.col("source"), F.col("payload")))
@@ -86,21 +97,31 @@ def parse_json_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
         quarantine
 
 
+def _koeri_tokens(line: Column) -> Column:
+    """A line's first eight tokens and what follows them."""
+    return F.split(F.regexp_replace(line, r"(?U)^\s+", ""), r"(?U)\s+", 9)
+
+
+def _is_koeri_line(line: Column) -> Column:
+    tok = _koeri_tokens(line)
+    ok = (F.get(tok, 8) != "") | line.rlike(r"(?U)\s\s$")  # something follows, if only blanks
+    for k, like in enumerate(_KOERI_TOKENS):
+        ok = ok & F.get(tok, k).rlike(like)
+    return F.coalesce(ok, F.lit(False)) & ~line.contains("Tarih") & ~line.contains("Date")
+
+
 def koeri_records(text: Column) -> Column:
-    """S5 line parsing as an array of records (one per accepted line)."""
-    block = F.regexp_extract(text, r"(?is)<pre[^>]*>(.*?)</pre>", 1)
-    lines = F.split(block, _LINE_BREAKS)
-    keep = lambda ln: ((~ln.rlike(r"(?U)^\s*$")) & ~ln.contains("Tarih") & ~ln.contains("Date")
-                       & ~F.regexp_replace(ln, r"(?U)^\s+", "").startswith("-")
-                       & ln.rlike(_KOERI_LINE))
-    return F.filter(lines, keep)
+    """S5 line parsing: the catalogue lines of the page's first ``pre`` block.
+    Rules and headers fail the token checks."""
+    opened = F.get(F.split(text, r"(?i)<pre[^>]*>", 2), 1)
+    block = F.when(opened.rlike(r"(?i)</pre>"), F.get(F.split(opened, r"(?i)</pre>", 2), 0))
+    return F.filter(F.split(block, _LINE_BREAKS), _is_koeri_line)
 
 
 def _koeri_fields(line: Column) -> list[Column]:
-    """Fields of a line that already matched the full line pattern: its
-    first eight fields hold no blanks, so one split on blank runs (limit 9)
-    yields exactly the pattern's groups, the remainder in the last one."""
-    tok = F.split(F.regexp_replace(line, r"(?U)^\s+", ""), r"(?U)\s+", 9)
+    """Fields of an accepted line; the last token holds the place and a
+    quality tag, if there is one."""
+    tok = _koeri_tokens(line)
     g = lambda i: F.element_at(tok, i)
     rest = F.regexp_replace(g(9), r"(?U)\s+$", "")
     tail = F.regexp_extract(rest, r"(?U)^(.*\S)\s+(\S+)$", 2)

@@ -5,12 +5,12 @@
   batches may append twice, which is harmless: ``raw_view`` applies the U2
   policy (first payload and time kept, URI filled) on read, and the policy
   is idempotent.
-* ``harmonize_from_log`` (T2): per source, log rows received after the
-  cursor, read from the day partitions at or after it. A key first seen
-  earlier (checked against the last ``recheck_days`` of the log only) is a
-  re-sighting and is not re-harmonized (the first payload wins, B10).
-  The new rows are merged into the day-partitioned silver table, one
-  touched day at a time (``DayTable.replace_days``).
+* ``harmonize_from_log`` (T2): per source, log rows ingested after the
+  cursor, read from the day partitions at or after it. A key that was taken
+  before, however long ago, is a re-sighting and is not harmonized again
+  (the first payload wins, B10): the key index knows every key. The new rows
+  are merged into the day-partitioned silver table, one touched day at a
+  time (``DayTable.replace_days``).
 """
 
 from __future__ import annotations
@@ -22,53 +22,49 @@ from ..operators.canonical import harmonize
 from ..operators.quality import quarantine_harmonized
 from ..session import scratch_path
 from ..sources.parse import parse_responses
-from .jobs import EPOCH, RAW_COLS, WATERMARKS, set_watermarks
-from .tables import DayTable, SnapshotTable
+from .jobs import ARRIVAL, RAW_COLS, WATERMARKS, Quarantine, cursor_of, set_watermarks, stamped
+from .tables import DayTable, KeyIndex, SnapshotTable
 
-ORDER = ["received_at", "archive_uri", "ordinal"]
-
-
-def ingest_to_log(responses: DataFrame, log: DayTable) -> None:
-    rows, _ = parse_responses(responses)
-    log.append(rows.select(*RAW_COLS, "ordinal")
+def ingest_to_log(responses: DataFrame, log: DayTable, received_at=None,
+                  quarantine: Quarantine | None = None) -> None:
+    rows, bad = parse_responses(responses)
+    log.append(stamped(rows, received_at).select(*RAW_COLS, "file_time", "ordinal")
                .withColumn("ingest_day", F.to_date("received_at")))
+    if quarantine is not None:
+        quarantine.add(bad)
 
 
 def raw_view(log_df: DataFrame) -> DataFrame:
     """The raw table as the U2 writer would leave it (one shuffle on key)."""
-    return U.upsert(None, log_df.select(*RAW_COLS, "ordinal"), ["source", "event_id"],
-                    U.RAW_FILL, order=ORDER).drop("ordinal")
+    return U.upsert(None, log_df.select(*RAW_COLS, "file_time", "ordinal"), ["source", "event_id"],
+                    U.RAW_FILL, order=ARRIVAL).select(*RAW_COLS)
 
 
-def merge_silver_days(silver: DayTable, updates: DataFrame, as_of, recheck_days: int = 30) -> None:
+def merge_silver_days(silver: DayTable, keys: KeyIndex, updates: DataFrame, as_of) -> None:
     """U3 upsert of ``updates`` into silver, touching only the days that
     change: the days of the new rows, plus the days where their keys live
-    now (found with a key-only semi-join over ``recheck_days`` around the
-    batch, so a revised time that moved a report to another day is seen).
-    Touched days are rewritten from the merged rows; a touched day left
-    with no rows is dropped."""
+    now, which the key index names for keys of any age. Touched days are
+    rewritten from the merged rows; a touched day left with no rows is
+    dropped."""
     spark = updates.sparkSession
-    upd = updates.withColumn("day", F.to_date("event_time"))
-    new_days = {r[0] for r in upd.select("day").distinct().collect()}
-    if not new_days:
+    upd = updates.withColumn("day", F.to_date("event_time")).persist()
+    live = keys.days_of(upd)
+    days = upd.select("day") if live is None else upd.select("day").union(live.select("day"))
+    touched = [r[0] for r in days.where("day is not null").distinct().collect()]  # days, not rows
+    if not touched:
         return
-    import datetime as _dt
     cur = silver.read(spark)
-    touched = set(new_days)
-    if cur is not None:
-        lo = min(new_days) - _dt.timedelta(days=recheck_days)
-        hi = max(new_days) + _dt.timedelta(days=recheck_days)
-        live = (cur.where(F.col("day").between(lo, hi)).select("source", "event_id", "day")
-                .join(upd.select("source", "event_id"), ["source", "event_id"], "left_semi"))
-        touched |= {r[0] for r in live.select("day").distinct().collect()}
-    existing = None if cur is None else cur.where(F.col("day").isin(sorted(touched))).drop("day")
+    existing = None if cur is None else cur.where(F.col("day").isin(touched)).drop("day")
     merged = U.upsert_harmonized(existing, upd.drop("day"), as_of=as_of) \
         .withColumn("day", F.to_date("event_time"))
     merged.persist()
     kept_days = {r[0] for r in merged.select("day").distinct().collect()}
     silver.replace_days(merged, scratch_path(spark, "silver-stage"))
-    silver.drop_days(spark, sorted(touched - kept_days))
+    silver.drop_days(spark, sorted(set(touched) - kept_days))
+    # After the rows: a run that stops in between finds its keys where they were.
+    keys.add(upd)
     merged.unpersist()
+    upd.unpersist()
 
 
 def merge_facts_days(facts: DayTable, new: DataFrame, as_of) -> None:
@@ -105,32 +101,39 @@ def dedupe_days(spark: SparkSession, silver: DayTable, facts: DayTable, as_of,
     return facts.read(spark)
 
 
-def harmonize_from_log(spark: SparkSession, log: DayTable, silver: DayTable,
-                       wm: SnapshotTable, as_of, recheck_days: int = 30) -> int:
+def harmonize_from_log(spark: SparkSession, log: DayTable, silver: DayTable, keys: KeyIndex,
+                       wm: SnapshotTable, as_of, quarantine: Quarantine | None = None) -> int:
     lg = log.read(spark)
     if lg is None:
         return 0
     cursors = (wm.read(spark) or spark.createDataFrame([], WATERMARKS)) \
         .where(F.col("job_name").startswith("harmonize::")) \
-        .select(F.substring_index("job_name", "::", -1).alias("source"),
-                F.col("last_value").alias("cursor"))
-    low = cursors.agg(F.min("cursor")).first()[0]
-    low = low if low is not None else EPOCH
-    cur_col = F.coalesce(F.col("cursor"), F.lit(EPOCH).cast("timestamp"))
-    recent = (lg.where(F.col("ingest_day") >= F.to_date(F.lit(str(low)).cast("timestamp")
-                                                        - F.make_dt_interval(days=F.lit(recheck_days))))
-              .join(cursors, "source", "left"))
-    new = recent.where(F.col("received_at") > cur_col).drop("cursor")
-    seen = recent.where(F.col("received_at") <= cur_col).select("source", "event_id")
-    first = raw_view(new.join(seen, ["source", "event_id"], "left_anti"))
+        .select(F.substring_index("job_name", "::", -1).alias("source"), F.col("last_value").alias("cursor"))
+    epoch = F.timestamp_micros(F.lit(0).cast("long"))
+    # Each source reads from its own cursor on; a source without one, everything.
+    new = (lg.join(cursors, "source", "left")
+           .where((F.col("received_at") > F.coalesce("cursor", epoch))
+                  & (F.col("ingest_day") >= F.to_date(F.coalesce("cursor", epoch)))).drop("cursor"))
+    marks = new.groupBy("source").agg(F.max("received_at").alias("last_value")) \
+        .select(F.concat(F.lit("harmonize::"), "source").alias("job_name"), "last_value")
+    known = keys.days_of(new)
+    fresh = new if known is None else new.join(known.select("source", "event_id"), ["source", "event_id"], "left_anti")
+    first = raw_view(fresh)
     first.persist()
     n = first.count()
     if n:
-        good, _ = quarantine_harmonized(harmonize(first, as_of=as_of))
-        merge_silver_days(silver, good.drop("received_at"), as_of)
-        marks = first.groupBy("source").agg(F.max("received_at").alias("last_value")) \
-            .select(F.concat(F.lit("harmonize::"), "source").alias("job_name"), "last_value")
-        set_watermarks(spark, wm, marks, as_of)
+        good, bad = quarantine_harmonized(harmonize(first, as_of=as_of))
+        if quarantine is not None:
+            quarantine.add(bad)
+        good = good.drop("received_at")
+        good.persist()
+        merge_silver_days(silver, keys, good, as_of)
+        # Rejected rows and rows the mapper cannot use are known keys as well.
+        keys.add(first.join(good.select("source", "event_id"), ["source", "event_id"], "left_anti")
+                 .select("source", "event_id", F.lit(None).cast("date").alias("day")))
+        good.unpersist()
+    # The cursor moves last: a run that stops before this line is repeated.
+    set_watermarks(spark, wm, marks, as_of)
     first.unpersist()
     return n
 
@@ -141,12 +144,10 @@ def sync_days(spark: SparkSession, facts: DayTable, docs: DayTable, wm: Snapshot
     merged by document id (event_uid) into their days; the cursor moves
     only after the merge. Every changed row is taken (no LIMIT, B8)."""
     from ..sources.documents import to_documents
-    from .jobs import get_watermark
     f = facts.read(spark)
     if f is None:
         return 0
-    cursor = get_watermark(spark, wm, job)
-    changed = f.where(F.col("updated_at") > F.lit(str(cursor)).cast("timestamp")).drop("day")
+    changed = f.where(F.col("updated_at") > cursor_of(spark, wm, job)).drop("day")
     changed.persist()
     n = changed.count()
     if n:
