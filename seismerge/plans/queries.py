@@ -140,10 +140,15 @@ def q_corrupt(spark, sf):
     return bad.select(F.col("archive_uri").cast("bigint").alias("page_id"), "reason")
 
 
-@register("koeri_pages_negative", """SELECT page_id, NULL::VARCHAR AS event_id FROM pages WHERE false""")
+@register("koeri_pages", """SELECT page_id, 'KOERI-2025-01-02T03:04:05-38.100-30.200' AS event_id FROM pages
+  WHERE page_id % 10 = 0""")
 def q_koeri_pages(spark, sf):
+    """Web pages as KOERI pages: none holds a catalogue, so a line is put into
+    every tenth one."""
     pages = read_table(spark, sf, "pages")
-    resp = pages.select(F.lit("KOERI").alias("source"), F.encode("html", "UTF-8").alias("content"),
+    line = "<pre>\nTarih Saat\n2025.01.02 03:04:05  38.1000   30.2000   5.0   -.-  3.1  -.-   SOMEWHERE\n</pre>"
+    html = F.when(F.col("page_id") % 10 == 0, F.concat("html", F.lit(line))).otherwise(F.col("html"))
+    resp = pages.select(F.lit("KOERI").alias("source"), F.encode(html, "UTF-8").alias("content"),
                         F.lit(None).cast("timestamp").alias("received_at"),
                         F.col("page_id").cast("string").alias("archive_uri"))
     return parse_koeri_responses(resp).select(F.col("archive_uri").cast("bigint").alias("page_id"),
