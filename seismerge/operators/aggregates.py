@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import SOURCE_PRIORITY
+from .filters import lookback_filter
 
 
 def _ts(as_of) -> Column:
@@ -20,7 +21,7 @@ def agreement_histogram(facts: DataFrame) -> DataFrame:
 def agreement_histogram_recent(facts: DataFrame, as_of, hours: int = 24) -> DataFrame:
     """A2: A1 over facts of the last ``hours`` before ``as_of``, ordered by
     level. No rows in the window -> an empty result (the check is skipped)."""
-    recent = facts.where(F.col("event_time") > _ts(as_of) - F.make_dt_interval(hours=F.lit(hours)))
+    recent = lookback_filter(facts, "event_time", as_of, hours)
     return (recent.groupBy(F.col("agreement_level").cast("int").alias("agreement_level"))
             .agg(F.count("*").alias("n_events")).orderBy("agreement_level"))
 
@@ -90,30 +91,31 @@ def magnitude_over_time(facts: DataFrame, top: int = 4, interval_hours: int = 1)
     """Hourly average magnitude per preferred source, empty hours kept.
 
     Series = the ``top`` sources with the highest overall average, the rest
-    folded into 'other'. The hour spine is generated per series with
-    ``sequence`` from the series' overall bounds (one row per series, then
-    ``explode``), and the hourly averages are left-joined onto it.
+    folded into 'other'. The facts are read once, into sums per source and
+    hour; ranks, bounds, hours and averages all come from that small table.
+    The hour spine is generated per series with ``sequence``.
     """
-    hour = F.date_trunc("hour", "event_time")
-    src_avg = facts.groupBy("preferred_source").agg(F.avg("magnitude").alias("a"))
-    rk = F.row_number().over(Window.orderBy(F.desc_nulls_last("a"), "preferred_source"))
-    series = src_avg.withColumn("rk", rk).select(
-        "preferred_source",
-        F.when(F.col("rk") <= top, F.col("preferred_source")).otherwise("other").alias("series"))
-    f = facts.join(series, "preferred_source").withColumn("hour", hour)
-    per_hour = f.groupBy("series", "hour").agg(F.avg("magnitude").alias("avg_magnitude"),
-                                                F.count("*").alias("n_events"))
-    bounds = f.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
+    hourly = facts.groupBy("preferred_source", F.date_trunc("hour", "event_time").alias("hour")).agg(
+        F.sum("magnitude").alias("total"), F.count("magnitude").alias("known"), F.count("*").alias("n"))
+    of_source = Window.partitionBy("preferred_source")
+    average = F.sum("total").over(of_source) / F.nullif(F.sum("known").over(of_source), F.lit(0))
+    every = Window.partitionBy(F.lit(0))
+    ranked = hourly.withColumn("a", average).select(
+        "*", F.dense_rank().over(Window.orderBy(F.desc_nulls_last("a"), "preferred_source")).alias("rk"),
+        F.min("hour").over(every).alias("lo"), F.max("hour").over(every).alias("hi"))
     step = F.make_dt_interval(hours=F.lit(interval_hours))
-    spine = (f.select("series").distinct()
-             .select("series", F.explode(F.sequence(bounds.select("lo").scalar(),
-                                                    bounds.select("hi").scalar(), step))
-                     .alias("hour")))
-    return (spine.join(per_hour, ["series", "hour"], "left")
-            .select("hour", "series", "avg_magnitude",
-                    F.coalesce("n_events", F.lit(0)).alias("n_events")))
-
-
-def max_watermark(df: DataFrame, col: str) -> DataFrame:
+    series = F.when(F.col("rk") <= top, F.col("preferred_source")).otherwise("other").alias("series")
+    per_hour = (ranked.groupBy(series, "hour").agg(F.sum("total").alias("total"), F.sum("known").alias("known"),
+                                                  F.sum("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi")))
+    filled = per_hour.groupBy("series").agg(
+        F.sequence(F.first("lo"), F.first("hi"), step).alias("hours"),
+        F.map_from_entries(F.collect_list(F.struct("hour", F.struct("total", "known", "n").alias("v")))).alias("at"))
+    v = F.element_at("at", F.col("hour"))
+    return (filled.select("series", "at", F.explode("hours").alias("hour"))
+            .select("hour", "series", (v["total"] / F.nullif(v["known"], F.lit(0))).alias("avg_magnitude"),
+                    F.coalesce(v["n"], F.lit(0)).alias("n_events")))
+
+
+def max_watermark(df: DataFrame, col: str, keys: list[str] | None = None) -> DataFrame:
     """A10: the new cursor of an increment (max of its time column)."""
-    return df.agg(F.max(col).alias("watermark"))
+    return df.groupBy(*(keys or [])).agg(F.max(col).alias("watermark"))

@@ -5,8 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.scalar import source_priority
-
 # The Türkiye bounding box applied to the global feeds.
 TR_BBOX = {"min_lat": 35.5, "max_lat": 42.5, "min_lon": 25.5, "max_lon": 45.0}
 BBOX_SOURCES = ("EMSC", "USGS")
@@ -85,18 +83,15 @@ MAP_COLUMNS = ["event_uid", "event_time", "latitude", "longitude", "magnitude",
 def map_view(facts: DataFrame, bbox: dict, t_from, t_to) -> DataFrame:
     """The map layer: bounds + time range, nine tooltip columns; points
     are sized by magnitude and coloured by agreement level."""
+    lo, hi = F.lit(t_from).cast("timestamp"), F.lit(t_to).cast("timestamp")
+    if "day" in facts.columns:
+        facts = facts.where(F.col("day").between(F.to_date(lo), F.to_date(hi)))
     return (facts.where(F.col("latitude").between(bbox["min_lat"], bbox["max_lat"])
                         & F.col("longitude").between(bbox["min_lon"], bbox["max_lon"])
-                        & (F.col("event_time") >= F.lit(t_from).cast("timestamp"))
-                        & (F.col("event_time") <= F.lit(t_to).cast("timestamp")))
+                        & F.col("event_time").between(lo, hi))
             .select(*MAP_COLUMNS))
 
 
-def time_order(df: DataFrame) -> list[Column]:
-    """O3: the total order of reports (time, priority, source, id)."""
-    return [F.col("event_time"), source_priority("source"), F.col("source"), F.col("event_id")]
-
-
 def response_cap(df: DataFrame, caps: dict = RESPONSE_CAP, group: list[str] | None = None) -> DataFrame:
     """At most n newest reports per source and pull (``group`` names the
     pull columns). Sources without a cap pass. The window is partitioned by
@@ -108,9 +103,3 @@ def response_cap(df: DataFrame, caps: dict = RESPONSE_CAP, group: list[str] | No
         cap = F.when(F.col("source") == s, F.lit(n)) if cap is None else cap.when(F.col("source") == s, F.lit(n))
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(cap.isNull() | (F.col("_rn") <= cap)).drop("_rn"))
-
-
-def batched_increment(df: DataFrame, col: str, watermark) -> DataFrame:
-    """O4 (batch form): every row past the watermark, ties included; the
-    reference's LIMIT is replaced by taking the whole increment (B8)."""
-    return df.where(F.col(col) > F.lit(watermark).cast("timestamp"))

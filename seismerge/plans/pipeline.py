@@ -1,19 +1,15 @@
-"""End-to-end batch jobs: bronze (raw) -> silver (harmonized) -> gold (facts).
-
-Every function takes an ``as_of`` timestamp (the job's "now") instead of
-calling ``current_timestamp()``, so a re-run reproduces its output.
+"""The windowed dedupe job and the fixture's "now". Jobs take an ``as_of``
+timestamp instead of calling ``current_timestamp()``, so a re-run reproduces
+its output. The layers themselves are built in ``queries.py``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.canonical import harmonize
 from ..operators.cluster import dedupe
 from ..operators.filters import lookback_filter
-from ..operators.quality import quarantine_harmonized
-from ..sources.parse import parse_responses
-from ..sources.testdata import fixture_responses, read_table
+from ..sources.testdata import read_table
 
 DEDUPE_WINDOW_DAYS = 30
 
@@ -32,32 +28,6 @@ def fixture_as_of_literal(spark: SparkSession, sf_dir: str) -> str:
     return v
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows parsed from the agencies' responses (S2-S5), as the written
-    bronze layer (built once per session, see ``store.py``)."""
-    from . import store
-
-    def build():
-        archive = store.table(spark, sf_dir, "archive", lambda: fixture_responses(spark, sf_dir),
-                              partition_by=["source"])
-        raw, _ = parse_responses(archive)
-        return raw
-    return store.table(spark, sf_dir, "bronze", build, partition_by=["source"])
-
-
-def silver(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
-    """Harmonized rows that pass the NOT NULL / domain checks (Q1, Q2)."""
-    a = fixture_as_of(spark, sf_dir) if as_of is None else as_of
-    good, _ = quarantine_harmonized(harmonize(bronze(spark, sf_dir), as_of=a))
-    return good
-
-
-def gold(spark: SparkSession, sf_dir: str, as_of=None, scan: str = "creation_break") -> DataFrame:
-    """Fact rows: C1-C10 over the harmonized rows (window handled by C11)."""
-    a = fixture_as_of(spark, sf_dir) if as_of is None else as_of
-    return dedupe(silver(spark, sf_dir, a), as_of=a, scan=scan)
-
-
 def dedupe_window(harmonized: DataFrame, as_of, days: int = DEDUPE_WINDOW_DAYS,
                   scan: str = "creation_break") -> DataFrame:
     """C11: cluster the reports of the last ``days`` (``>=`` cutoff)."""

@@ -70,7 +70,7 @@ def _silver_days(spark, sf):
     """Silver with its ``day`` partition column (for day pruning)."""
     def build():
         good, _ = Q.quarantine_harmonized(_mapped(spark, sf))
-        return store.with_day(good)
+        return store.with_day(good).repartition("day")
     return store.table(spark, sf, "silver", build, partition_by=["day"], sort_by=["event_time"])
 
 
@@ -82,8 +82,15 @@ def _assigned(spark, sf, scan="creation_break"):
 
 def _facts(spark, sf):
     """Gold fact rows."""
-    return store.table(spark, sf, "facts", lambda: unique_uid(
-        build_facts(_assigned(spark, sf), as_of=fixture_as_of(spark, sf))))
+    return _facts_days(spark, sf).drop("day")
+
+
+def _facts_days(spark, sf):
+    """Facts with their ``day`` partition column (for day pruning)."""
+    def build():
+        facts = unique_uid(build_facts(_assigned(spark, sf), as_of=fixture_as_of(spark, sf)))
+        return store.with_day(facts).repartition("day")
+    return store.table(spark, sf, "facts", build, partition_by=["day"])
 
 
 AS_OF_SQL = "(SELECT max(ts) FROM events)"
@@ -250,7 +257,7 @@ def q_hist(spark, sf):
 @register("agreement_histogram_24h", FB + f"""SELECT CAST(len(srcs) AS INTEGER) AS agreement_level,
   count(*) AS n_events FROM facts WHERE t_min > {AS_OF_SQL} - INTERVAL 24 HOUR GROUP BY 1""")
 def q_hist24(spark, sf):
-    return A.agreement_histogram_recent(_facts(spark, sf), fixture_as_of_literal(spark, sf))
+    return A.agreement_histogram_recent(_facts_days(spark, sf), fixture_as_of_literal(spark, sf))
 
 
 @register("by_province", FB + """SELECT p_province AS province, count(*) AS n_events,
@@ -305,8 +312,8 @@ def q_distinct(spark, sf):
 
 @register("max_watermark", R + """SELECT source, max(received_at) AS watermark FROM raw_meta GROUP BY 1""")
 def q_watermark(spark, sf):
-    raw = _bronze(spark, sf)
-    return raw.groupBy("source").agg(ntz(F.max("received_at")).alias("watermark"))
+    marks = A.max_watermark(_bronze(spark, sf), "received_at", ["source"])
+    return marks.select("source", ntz("watermark").alias("watermark"))
 
 
 @register("source_freshness", R + f"""SELECT s.source, coalesce(n, 0) AS n_rows, coalesce(n, 0) = 0 AS silent
@@ -534,11 +541,11 @@ def q_place(spark, sf):
   WHERE p_lat BETWEEN 36.0 AND 40.0 AND p_lon BETWEEN 27.0 AND 35.0
     AND t_min >= (SELECT min(ts) FROM events) AND t_min <= (SELECT min(ts) FROM events) + INTERVAL 10 DAY""")
 def q_map(spark, sf):
-    lo = read_table(spark, sf, "events").agg(F.min("ts")).scalar().cast("timestamp")
-    f = _facts(spark, sf)
-    v = f.where(F.col("latitude").between(36.0, 40.0) & F.col("longitude").between(27.0, 35.0)
-                & (F.col("event_time") >= lo) & (F.col("event_time") <= lo + F.expr("INTERVAL 10 DAYS")))
-    return v.select(*FL.MAP_COLUMNS).select(
+    lo, hi = read_table(spark, sf, "events").agg(
+        F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        F.date_format(F.min("ts") + F.expr("INTERVAL 10 DAYS"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()
+    box = {"min_lat": 36.0, "max_lat": 40.0, "min_lon": 27.0, "max_lon": 35.0}
+    return FL.map_view(_facts_days(spark, sf), box, lo, hi).select(
         "event_uid", ntz("event_time").alias("event_time"), "latitude", "longitude", "magnitude",
         "depth_km", "place", "preferred_source", F.col("agreement_level").cast("int").alias("agreement_level"))
 

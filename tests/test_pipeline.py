@@ -1,15 +1,15 @@
-"""The public batch functions: bronze -> silver -> gold, and C11."""
+"""The written layers bronze -> silver -> gold, and C11."""
 
-from seismerge.plans import pipeline as P
+from seismerge.operators.cluster import dedupe
+from seismerge.plans import pipeline as P, queries as Q
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_gold_pipeline_and_window_job(spark):
-    facts = P.gold(spark, SF, as_of="2024-02-01")
+def test_layers_and_window_job(spark):
+    facts, silver = Q._facts(spark, SF), Q._silver(spark, SF)
     n = facts.count()
     assert n > 0 and facts.select("event_uid").distinct().count() == n
-    silver = P.silver(spark, SF, as_of="2024-02-01")
     recent = P.dedupe_window(silver, "2024-01-31 00:00:00", days=7)
     assert 0 < recent.count() < n
-    assert P.gold(spark, SF, as_of="2024-02-01", scan="window").count() <= n
+    assert dedupe(silver, as_of="2024-02-01", scan="window").count() <= n
