@@ -22,6 +22,8 @@ Plan (see README "Clustering at scale"):
 
 from __future__ import annotations
 
+import ast
+import hashlib
 import math
 import sys
 from typing import Iterator
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.scalar import epoch_us, event_uid, floor_div, iso_utc, source_priority
 from ..schemas import DIST_KM_WINDOW, DM_WINDOW, DT_WINDOW_S, EARTH_RADIUS_KM
+from ..session import written
 
 # Python workers may not have this package on their path (the session can
 # be built by any launcher), so the fold ships by value with its helpers.
@@ -40,6 +43,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCAN_MODES = ("creation_break", "window")
 BUCKETS_PER_BLOCK = 1024
 
+# Reports per piece of a long session, the warm-up before a piece, and the
+# factor that puts a piece's members after those of the pieces before it.
+PIECE_REPORTS, WARM_S, PIECE_ORDINALS = 20_000, 1800.0, 1 << 32
+
 # Columns the fold reads, and the member columns it passes through so no
 # join back to the reports is needed.
 FOLD_INPUT = ["block", "us", "prio", "source", "event_id", "latitude", "longitude", "magnitude"]
@@ -95,92 +102,206 @@ def _surface_km(here: tuple[float, float], there: tuple[float, float]) -> float:
     return 2 * EARTH_RADIUS_KM * math.asin(math.sqrt(min(h, 1.0)))
 
 
+class _Walk:
+    """The open clusters of one block, as running sums, newest last."""
+
+    def __init__(self, w_us: int, dist_km: float, dm: float, break_mode: bool):
+        self.w_us, self.dist_km, self.dm, self.break_mode = w_us, dist_km, dm, break_mode
+        self.open: list[list] = []  # [id, newest us, lat sum, lon sum, n, magnitude sum, magnitudes]
+
+    def place(self, t: int, lat: float, lon: float, mag: float | None, new_id: int) -> int:
+        """The cluster the report joins; ``new_id`` if it opens its own.
+
+        The open clusters are tested newest-created first; the match with the
+        smallest time gap wins, the newest-created on ties. With
+        ``break_mode`` the walk stops at the first cluster whose newest member
+        is more than the window older, and all clusters behind it are out of
+        reach for good."""
+        open_, best, best_dt = self.open, None, None
+        for j in range(len(open_) - 1, -1, -1):
+            c = open_[j]
+            dt = t - c[1]
+            if dt > self.w_us:
+                if self.break_mode:
+                    del open_[:j + 1]
+                    break
+                continue
+            if _surface_km((lat, lon), (c[2] / c[4], c[3] / c[4])) <= self.dist_km:
+                if mag is None or c[6] == 0 or abs(mag - c[5] / c[6]) <= self.dm:
+                    if best_dt is None or dt < best_dt:
+                        best, best_dt = c, dt
+        if best is None:
+            open_.append([new_id, t, lat, lon, 1, 0.0 if mag is None else mag, 0 if mag is None else 1])
+            if not self.break_mode and len(open_) > 64:
+                self.prune(t)
+            return new_id
+        best[1] = max(best[1], t)
+        best[2] += lat
+        best[3] += lon
+        best[4] += 1
+        if mag is not None:
+            best[5] += mag
+            best[6] += 1
+        return best[0]
+
+    def prune(self, t: int) -> None:
+        """Drop what no report at ``t`` or later can reach."""
+        if self.break_mode:
+            stale = [k for k, c in enumerate(self.open) if t - c[1] > self.w_us]
+            del self.open[:stale[-1] + 1 if stale else 0]
+        else:
+            self.open = [c for c in self.open if t - c[1] <= self.w_us]
+
+
+def _check_scan(scan: str) -> bool:
+    if scan not in SCAN_MODES:
+        raise ValueError(f"scan must be one of {SCAN_MODES}")
+    return scan == "creation_break"
+
+
 def make_fold(dt_window_s: float = DT_WINDOW_S, dist_km: float = DIST_KM_WINDOW,
               dm: float = DM_WINDOW, scan: str = "creation_break"):
-    """The per-session greedy walk (C1 with J1 as the match rule).
-
-    Reports arrive in (time, priority, source, event_id) order. For each one
-    the open clusters are tested newest-created first; the match with the
-    smallest time gap wins, the newest-created on ties. ``creation_break``
-    stops the walk at the first cluster whose newest member is more than the
-    window older (the reference behaviour, B3); ``window`` tests every
-    cluster whose newest member is within the window.
+    """The per-block greedy walk (C1 with J1 as the match rule).
+
+    Reports arrive in (time, priority, source, event_id) order.
+    ``creation_break`` ends a search at the first cluster whose newest member
+    is more than the window older (the reference behaviour, B3); ``window``
+    tests every cluster whose newest member is within the window.
     """
-    if scan not in SCAN_MODES:
-        raise ValueError(f"scan must be one of {SCAN_MODES}")
-    w_us = _window_us(dt_window_s)
-    break_mode = scan == "creation_break"
+    break_mode, w_us = _check_scan(scan), _window_us(dt_window_s)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # One partition: blocks one after another, each in walk order.
-        session = None
-        seq, tmax, slat, slon, cnt, smag, nmag = [], [], [], [], [], [], []
-        next_seq = 0
-        ordinal = 0
+        block, walk, clusters, ordinal = None, None, 0, 0
         for pdf in batches:
-            n = len(pdf)
-            out_seq = [0] * n
-            out_ord = [0] * n
-            ses_l = pdf["block"].tolist()
-            us_l = pdf["us"].tolist()
-            lat_l = pdf["latitude"].tolist()
-            lon_l = pdf["longitude"].tolist()
-            mag_l = pdf["magnitude"].tolist()
-            for i in range(n):
-                if ses_l[i] != session:
-                    session = ses_l[i]
-                    seq, tmax, slat, slon, cnt, smag, nmag = [], [], [], [], [], [], []
-                    next_seq = 0
-                    ordinal = 0
-                t, lat, lon, mag = us_l[i], lat_l[i], lon_l[i], mag_l[i]
+            seqs, ords = [], []
+            for b, t, lat, lon, mag in zip(*[pdf[c].tolist() for c in ("block", "us", "latitude", "longitude", "magnitude")]):
+                if b != block:
+                    block, walk, clusters, ordinal = b, _Walk(w_us, dist_km, dm, break_mode), 0, 0
                 if mag is not None and mag != mag:  # NaN from Arrow means null
                     mag = None
-                best, best_dt = -1, None
-                j = len(seq) - 1
-                cut = -1
-                while j >= 0:
-                    dt = t - tmax[j]
-                    if dt > w_us:
-                        if break_mode:
-                            cut = j
-                            break
-                        j -= 1
-                        continue
-                    if _surface_km((lat, lon), (slat[j] / cnt[j], slon[j] / cnt[j])) <= dist_km:
-                        if mag is None or nmag[j] == 0 or abs(mag - smag[j] / nmag[j]) <= dm:
-                            if best_dt is None or dt < best_dt:
-                                best, best_dt = j, dt
-                    j -= 1
-                if best < 0:
-                    seq.append(next_seq); tmax.append(t); slat.append(lat); slon.append(lon)
-                    cnt.append(1); smag.append(mag if mag is not None else 0.0)
-                    nmag.append(1 if mag is not None else 0)
-                    out_seq[i] = next_seq
-                    next_seq += 1
-                else:
-                    if t > tmax[best]:
-                        tmax[best] = t
-                    slat[best] += lat; slon[best] += lon; cnt[best] += 1
-                    if mag is not None:
-                        smag[best] += mag; nmag[best] += 1
-                    out_seq[i] = seq[best]
-                out_ord[i] = ordinal
+                seq = walk.place(t, lat, lon, mag, clusters)
+                clusters += seq == clusters
+                seqs.append(seq)
+                ords.append(ordinal)
                 ordinal += 1
-                # Drop clusters no later report can reach: everything up to the
-                # break point (creation_break), or clusters older than the
-                # window (window mode; times only grow).
-                if cut >= 0:
-                    del seq[:cut + 1], tmax[:cut + 1], slat[:cut + 1], slon[:cut + 1]
-                    del cnt[:cut + 1], smag[:cut + 1], nmag[:cut + 1]
-                elif not break_mode and len(seq) > 64:
-                    keep = [k for k in range(len(seq)) if t - tmax[k] <= w_us]
-                    if len(keep) < len(seq):
-                        for lst in (seq, tmax, slat, slon, cnt, smag, nmag):
-                            lst[:] = [lst[k] for k in keep]
-            yield pdf.assign(cluster_seq=out_seq, member_ord=out_ord)
+            yield pdf.assign(cluster_seq=seqs, member_ord=ords)
     return fold
 
 
+def _head_id(source: str, event_id: str) -> int:
+    """A cluster's number, from its first report, the same in any run."""
+    return int.from_bytes(hashlib.blake2b(f"{source}:{event_id}".encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def make_piece_fold(dt_window_s: float, dist_km: float, dm: float, scan: str):
+    """The walk over pieces of blocks. A piece's rows are its own reports
+    (``own``) after those of the time before it (its warm-up), or after the
+    open clusters that it is given (``state``). Its own reports come out with
+    their clusters, and one more row says which clusters were open when the
+    first of them came (``state_in``) and when the next piece begins
+    (``state_out``)."""
+    break_mode, w_us = _check_scan(scan), _window_us(dt_window_s)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, walk, before, ordinal, blank, end = None, None, None, 0, None, None
+
+        def ended() -> pd.DataFrame:
+            if not pd.isna(end):
+                walk.prune(int(end))
+            return blank.assign(state_in=before, state_out=repr(walk.open))
+        for pdf in batches:
+            seqs, ords = [], []
+            for k, (b, p, t, lat, lon, mag, own, source, event_id) in enumerate(zip(*[pdf[c].tolist() for c in (
+                    "block", "piece", "us", "latitude", "longitude", "magnitude", "own", "source", "event_id")])):
+                if (b, p) != at:
+                    if at is not None and before is not None:
+                        yield ended()
+                    at, walk, before, ordinal = (b, p), _Walk(w_us, dist_km, dm, break_mode), None, 0
+                    one = pdf.iloc[k:k + 1]
+                    end, given = one["next_us"].iloc[0], one["state"].iloc[0]
+                    if given is not None and given == given:
+                        walk.open = ast.literal_eval(given)
+                    blank = one.assign(cluster_seq=0, member_ord=0, state_in=None, state_out=None)[list(columns)]
+                if own and before is None:
+                    walk.prune(int(pdf["start_us"].iloc[k]))
+                    before = repr(walk.open)
+                if mag is not None and mag != mag:
+                    mag = None
+                seqs.append(walk.place(t, lat, lon, mag, _head_id(source, event_id)))
+                ords.append(p * PIECE_ORDINALS + ordinal)
+                ordinal += 1
+            out = pdf.assign(cluster_seq=seqs, member_ord=ords, state_in=None, state_out=None)
+            yield out.loc[out["own"], list(columns)]
+        if at is not None and before is not None:
+            yield ended()
+    columns: tuple[str, ...] = ()
+
+    def bound(names: list[str]):
+        nonlocal columns
+        columns = tuple(names)
+        return fold
+    return bound
+
+
+def _piece_table(sessions: DataFrame, w_us: int, piece_reports: int) -> DataFrame:
+    """(session, bucket, piece): sessions cut at bucket borders into pieces of
+    about ``piece_reports``. Its size follows the time span, not the reports."""
+    per = sessions.groupBy("session", floor_div(F.col("us"), w_us).alias("bucket")).agg(
+        F.count("*").alias("n"), F.min("us").alias("first_us"))
+    ahead = Window.partitionBy("session").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    reached = per.withColumn("at", F.floor(F.coalesce(F.sum("n").over(ahead), F.lit(0)) / piece_reports))
+    # Numbered without gaps, also where one bucket holds more than a piece.
+    in_order = Window.partitionBy("session").orderBy("at")
+    return reached.withColumn("piece", F.dense_rank().over(in_order).cast("long") - 1).drop("at")
+
+
+def _walk_in_pieces(r: DataFrame, cols: list[str], piece_of: DataFrame, dt_window_s: float, dist_km: float,
+                    dm: float, scan: str, warm_s: float) -> DataFrame:
+    """Every piece of a long session by its own task, exact by check.
+
+    Each piece first runs from a warm-up of ``warm_s`` before it. Where the
+    clusters open at its start then differ from those its predecessor ended
+    with, the piece is run again from the predecessor's, until all borders
+    agree. Each round settles at least the first piece that differed, and
+    usually no round is needed, as clusters are short-lived; reports that
+    never let a cluster close for longer than the warm-up need a round per
+    piece they span."""
+    spark, w_us = r.sparkSession, _window_us(dt_window_s)
+    starts = piece_of.groupBy("session", "piece").agg(F.min("bucket").alias("start"), F.min("first_us").alias("start_us"))
+    nxt = starts.select("session", (F.col("piece") - 1).alias("piece"), F.col("start_us").alias("next_us"))
+    pieces = written(spark, starts.join(nxt, ["session", "piece"], "left"), "pieces")
+    warm = max(1, math.ceil(warm_s / dt_window_s))
+    early = pieces.where("piece > 0").select("session", "piece", F.explode(F.sequence(
+        F.col("start") - warm, F.col("start") - 1)).alias("bucket"))
+    reports = r.select(*cols).withColumn("bucket", floor_div(F.col("us"), w_us))
+    own = reports.join(piece_of.select("session", "bucket", "piece"), ["session", "bucket"]).withColumn("own", F.lit(True))
+    both = own.unionByName(reports.join(early, ["session", "bucket"]).withColumn("own", F.lit(False)))
+    both = both.join(pieces.select("session", "piece", "start_us", "next_us"), ["session", "piece"]).drop("bucket")
+    names = cols + ["piece", "cluster_seq", "member_ord", "state_in", "state_out"]
+    schema = T.StructType([T.StructField(c, r.schema[c].dataType) for c in cols]
+                          + [T.StructField(c, T.LongType()) for c in ("piece", "cluster_seq", "member_ord")]
+                          + [T.StructField(c, T.StringType()) for c in ("state_in", "state_out")])
+    fold = make_piece_fold(dt_window_s, dist_km, dm, scan)(names)
+
+    def run(rows: DataFrame) -> DataFrame:
+        ordered = rows.repartition("block", "piece").sortWithinPartitions("block", "piece", "us", "prio", "source", "event_id")
+        return written(spark, ordered.mapInPandas(fold, schema), "walked")
+    done = run(both.withColumn("state", F.lit(None).cast("string")))
+    while True:
+        states = done.where("state_in is not null").select("block", "piece", "state_in", "state_out")
+        earlier = states.select("block", (F.col("piece") + 1).alias("piece"), F.col("state_out").alias("state"))
+        differ = (states.join(earlier, ["block", "piece"], "left").where("piece > 0")
+                  .select("block", "piece", "state_in", F.coalesce("state", F.lit("[]")).alias("state"))
+                  .where("state <> state_in").select("block", "piece", "state"))
+        differ = written(spark, differ, "borders")
+        if not differ.take(1):
+            return done.where("state_in is null").drop("piece", "state_in", "state_out")
+        again = run(both.where("own").join(differ, ["block", "piece"]))
+        done = written(spark, done.join(differ.select("block", "piece"), ["block", "piece"], "left_anti")
+                       .select(*names).union(again.select(*names)), "walked")
+
+
 def _band_width(i: int, h: float) -> float:
     """Longitude width (degrees) of the cells of latitude band ``i``."""
     edge = max(abs(i * h - 90.0), abs((i + 1) * h - 90.0))
@@ -288,7 +409,8 @@ def spatial_blocks(sessions: DataFrame, link_km: float = 2 * DIST_KM_WINDOW + 10
 def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
                     dist_km: float = DIST_KM_WINDOW, dm: float = DM_WINDOW,
                     scan: str = "creation_break", num_partitions: int | None = None,
-                    spatial_split: bool = True) -> DataFrame:
+                    spatial_split: bool = True, piece_reports: int | None = PIECE_REPORTS,
+                    warm_s: float = WARM_S) -> DataFrame:
     """Run the fold. Input: ``time_sessions`` output. Output: one row per
     report with ``block``, ``prio``, ``cluster_seq`` (creation order inside
     the block) and ``member_ord`` (walk order inside the block).
@@ -299,6 +421,8 @@ def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
     the partition through the fold in Arrow batches, resetting at each block
     boundary. No per-group pandas frame is built, so many small blocks cost
     nothing extra and one huge block needs only its open clusters in memory.
+    A session of more than ``piece_reports`` reports is walked in pieces by
+    several tasks, with the same result (``_walk_in_pieces``).
     """
     if scan == "window" and spatial_split:
         sessions = spatial_blocks(sessions, 2 * dist_km + 10.0)
@@ -307,12 +431,15 @@ def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
     r = sessions.withColumn("prio", source_priority("source"))
     part = [num_partitions] if num_partitions else []
     cols = FOLD_INPUT + [c for c in PASS_THROUGH if c in r.columns]
+    if piece_reports:
+        piece_of = written(r.sparkSession, _piece_table(r, _window_us(dt_window_s), piece_reports), "piece-buckets")
+        if piece_of.where("piece > 0").take(1):
+            return _walk_in_pieces(r, cols, piece_of, dt_window_s, dist_km, dm, scan, warm_s)
     ordered = (r.select(*cols)
                .repartition(*part, "block")
                .sortWithinPartitions("block", "us", "prio", "source", "event_id"))
     schema = T.StructType([ordered.schema[c] for c in cols] + [
-        T.StructField("cluster_seq", T.IntegerType()),
-        T.StructField("member_ord", T.IntegerType())])
+        T.StructField("cluster_seq", T.LongType()), T.StructField("member_ord", T.LongType())])
     return ordered.mapInPandas(make_fold(dt_window_s, dist_km, dm, scan), schema)
 
 

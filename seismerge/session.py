@@ -80,3 +80,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     import uuid
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(spark: SparkSession, df, name: str):
+    """Cut lineage: ``df`` as a table in the shared folder, read back."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
