@@ -117,3 +117,19 @@ def q_violations(spark, sf):
     return (bad.groupBy("reason").agg(F.count("*").alias("n_rows"))
             .unionByName(good.agg(F.lit("passed").alias("reason"), F.count("*").alias("n_rows")))
             .unionByName(repeated.agg(F.lit("repeated key").alias("reason"), F.count("*").alias("n_rows"))))
+
+
+_DENSE = """dense AS (SELECT * REPLACE (lo + (us - lo) // 10 AS us) FROM reports, (SELECT min(us) AS lo FROM reports))"""
+
+
+@register("clusters_dense", O.with_ctes(O.REPORTS, _DENSE, O.SESSIONS.replace("FROM reports WINDOW", "FROM dense WINDOW"),
+                                        O.clusters_cte()) + "SELECT source, event_id, cluster_head, cluster_size FROM members")
+def q_dense(spark, sf):
+    """The walk at ten times the report rate, where sessions are long: in
+    pieces of 2,000 reports, each by its own task."""
+    silver = _silver(spark, sf)
+    lo = silver.agg(F.min(F.unix_micros("event_time"))).first()[0] or 0
+    us = F.unix_micros("event_time") - F.lit(lo)
+    dense = silver.withColumn("event_time", F.timestamp_micros(F.lit(lo) + F.floor(us / 10)))
+    return cluster_members(assign_clusters(time_sessions(dense), piece_reports=2000)).select(
+        "source", "event_id", "cluster_head", "cluster_size")
