@@ -15,6 +15,7 @@ from seismerge.session import scratch_path
 
 #: Text handed to numpy at a time; a longer single document is one slice.
 SLICE_BYTES = 2 << 20
+ARROW_ROWS = 600
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -26,12 +27,21 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(spark: SparkSession) -> Column:
-    """A row's position in a plain table read, the same in every scan:
-    the number of splits is pinned for the session, as it would otherwise
-    follow the executors that happen to be there."""
+def prepared(spark: SparkSession) -> None:
+    """Session settings of the text operators: few rows per Arrow batch, since
+    a row is a whole text that the JVM and its Python worker both hold, and a
+    number of input splits that does not follow the executors that happen to
+    be there."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
+def numbered(spark: SparkSession) -> Column:
+    """A row's position in a plain table read, the same in every scan."""
+    prepared(spark)
     return F.monotonically_increasing_id()
 
 

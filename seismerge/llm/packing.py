@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import slices, with_columns, written
+from seismerge.llm.common import prepared, slices, with_columns, written
 from seismerge.llm.subwords import TOKENIZER, encoder
 
 LENGTH, END_ID, BUCKET = 2048, 0, 16384
@@ -87,6 +87,7 @@ def packer(length: int):
 def pack(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
          tokenizer: str = TOKENIZER, bucket: int = BUCKET) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    prepared(spark)
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long"
     pieces = written(spark, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                      .mapInArrow(cut(length, tokenizer), fields), "pieces")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import byte_sums, held_out, mix, slices, span_hash, with_columns, written
+from seismerge.llm.common import byte_sums, held_out, mix, prepared, slices, span_hash, with_columns, written
 from seismerge.llm.fitting import class_counts, fitted, stratified
 
 BITS, PER_CLASS, CUT = 17, 3000, 0.3
@@ -153,6 +153,7 @@ def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_
                    cut: float = CUT, folds: int = 5, rest: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted for every document of ``docs(doc_id,
     text)``, learned from ``labels(doc_id, quality)``."""
+    prepared(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        held_out(F.col("doc_id"), folds, rest).alias("held_out"))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))

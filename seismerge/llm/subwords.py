@@ -17,7 +17,7 @@ from seismerge.llm.common import byte_sums, lower_ascii, space_words, span_hash
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words kept by one Python worker; beyond it the table starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 400_000
 
 _LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[97:123] = True

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seismerge.llm.common import slices, written
+from seismerge.llm.common import prepared, slices, written
 from seismerge.llm.subwords import TOKENIZER, encoder
 
 BLOCK = 4096
@@ -41,6 +41,7 @@ def token_histogram(spark: SparkSession, docs: DataFrame, text_col: str = "text"
     """Per encoded length n_tokens: docs of that length, tokens in them;
     docs_ge and tokens_ge (this length or more); rank (documents shorter);
     truncated_tokens (all documents cut to n_tokens), lost_tokens."""
+    prepared(spark)
     hist = written(spark, docs.select(F.col(text_col).alias("text")).mapInArrow(
         lengths(tokenizer), "n_tokens long, docs long").groupBy("n_tokens").agg(F.sum("docs").alias("docs")), "lengths")
     hist = hist.withColumn("tokens", F.col("n_tokens") * F.col("docs")).withColumn(
