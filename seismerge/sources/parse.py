@@ -46,9 +46,9 @@ def _json_elements(source: Column, text: Column) -> Column:
     An empty EMSC/USGS response counts as ``{}`` (no rows).
     """
     afad = F.coalesce(F.from_json(text, "array<string>"),
-                      F.from_json(F.get_json_object(text, "$.result"), "array<string>"),
+                      F.from_json(text, "struct<result:array<string>>")["result"],
                       F.array().cast("array<string>"))
-    feats = F.coalesce(F.from_json(F.get_json_object(text, "$.features"), "array<string>"),
+    feats = F.coalesce(F.from_json(text, "struct<features:array<string>>")["features"],
                        F.array().cast("array<string>"))
     return F.when(source == "AFAD", afad).otherwise(feats)
 
