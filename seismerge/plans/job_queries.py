@@ -10,6 +10,7 @@ from ..operators.cluster import assign_clusters, cluster_members, time_sessions
 from ..operators.quality import HARMONIZED_REQUIRED, domain_checks, duplicate_keys, not_null_checks, split_quality
 from ..session import scratch_path
 from ..sources.archive import archive_sink, raw_sink, scan_archive_table
+from ..sources.documents import SchemaMismatch, strict_schema_check, to_documents
 from ..streaming import logjobs as L
 from ..streaming.tables import DayTable, KeyIndex, SnapshotTable
 from . import oracle as O
@@ -133,3 +134,21 @@ def q_dense(spark, sf):
     dense = silver.withColumn("event_time", F.timestamp_micros(F.lit(lo) + F.floor(us / 10)))
     return cluster_members(assign_clusters(time_sessions(dense), piece_reports=2000)).select(
         "source", "event_id", "cluster_head", "cluster_size")
+
+
+@register("strict_schema", FB + """SELECT 'as mapped' AS documents, count(*) AS n_accepted FROM facts
+UNION ALL SELECT 'with a further field', 0 UNION ALL SELECT 'with a text level', 0""")
+def q_strict_schema(spark, sf):
+    """Documents as mapped are taken, others refused as a whole."""
+    docs = to_documents(_facts(spark, sf))
+    cases = {"as mapped": docs, "with a further field": docs.withColumn("note", F.lit("x")),
+             "with a text level": docs.withColumn("agreement_level", F.col("agreement_level").cast("string"))}
+    out = None
+    for name, df in cases.items():
+        try:
+            taken = strict_schema_check(df)
+        except SchemaMismatch:
+            taken = df.where("false")
+        row = taken.agg(F.lit(name).alias("documents"), F.count("*").alias("n_accepted"))
+        out = row if out is None else out.unionByName(row)
+    return out
