@@ -8,10 +8,6 @@ from ..schemas import SOURCE_PRIORITY
 from .filters import lookback_filter
 
 
-def _ts(as_of) -> Column:
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-
-
 def agreement_histogram(facts: DataFrame) -> DataFrame:
     """A1: fact rows per agreement level (a missing level counts as 1)."""
     lvl = F.coalesce(F.col("agreement_level").cast("int"), F.lit(1))
@@ -47,8 +43,7 @@ def source_freshness(raw: DataFrame, as_of, hours: float = 1.0,
     One scan and one grouped count; the zero rows come from a left join of
     the (four-row) list of expected sources, not from a second scan.
     """
-    since = _ts(as_of) - F.make_dt_interval(secs=F.lit(int(hours * 3600)))
-    counts = (raw.where(F.col("received_at") > since)
+    counts = (lookback_filter(raw, "received_at", as_of, hours)
               .groupBy("source").agg(F.count("*").alias("n")))
     names = raw.sparkSession.createDataFrame([(s,) for s in sources], "source string")
     return (names.join(counts, "source", "left")

@@ -48,10 +48,15 @@ def _archive(spark, sf):
 
 def _bronze(spark, sf):
     """Raw rows (S2-S5) parsed from the archived responses."""
+    return _bronze_days(spark, sf).drop("day")
+
+
+def _bronze_days(spark, sf):
+    """Raw rows by source and day of receipt, one file each."""
     def build():
         raw, _ = parse_responses(_archive(spark, sf))
-        return raw
-    return store.table(spark, sf, "bronze", build, partition_by=["source"])
+        return store.with_day(raw, "received_at").repartition("source", "day")
+    return store.table(spark, sf, "bronze", build, partition_by=["source", "day"])
 
 
 def _mapped(spark, sf):
@@ -321,7 +326,7 @@ def q_watermark(spark, sf):
   LEFT JOIN (SELECT source, count(*) AS n FROM raw_meta
              WHERE received_at > {AS_OF_SQL} - INTERVAL 1 HOUR GROUP BY 1) c USING (source)""")
 def q_fresh(spark, sf):
-    return A.source_freshness(_bronze(spark, sf), fixture_as_of_literal(spark, sf)) \
+    return A.source_freshness(_bronze_days(spark, sf), fixture_as_of_literal(spark, sf)) \
         .select("source", F.col("n_rows").cast("bigint"), "silent")
 
 
