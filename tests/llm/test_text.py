@@ -205,7 +205,7 @@ def test_lm_counts(spark, awkward, hot):
     tokens = [[w for w in re.split(r"[\x20\x09-\x0D]+", (t or "").translate(_LOWER)) if w] + [None] for t in texts]
     known = Counter(w for i, t in enumerate(tokens) if not held(i, 7, 2) for w in t)
     total = sum(known.values())
-    got = {r.doc_id: r for r in lm_scores(spark, awkward, hot_words=hot).collect()}
+    got = {r.doc_id: r for r in lm_scores(spark, awkward, most_hot=hot).collect()}
     for i, t in enumerate(tokens):
         r = got[i]
         base = sum(np.log10((known[w] + 1) / (total + len(known) + 1)) for w in t)
