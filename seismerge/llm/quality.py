@@ -157,8 +157,9 @@ def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        held_out(F.col("doc_id"), folds, rest).alias("held_out"))
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    # A shuffle at every size: labels grow with the documents and are not broadcast.
     known = written(spark, rows.where("not held_out").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-                    .join(marks.where("quality in (0, 1)"), "doc_id"), "labelled")
+                    .join(marks.where("quality in (0, 1)").hint("merge"), "doc_id"), "labelled")
     counts = class_counts(known, "quality")
     ratio, weights, shift = np.zeros(SIZE), np.zeros(SIZE + 1, np.float32), 0.0
     if len(counts) == 1:
