@@ -50,8 +50,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                .withColumn("recipe", F.transform(F.array_sort("r"), lambda c: F.struct(c["h"], c["content"])))
                .select("row", "doc_id", "sha", "recipe", F.xxhash64("recipe").alias("rh")))
     recipes = written(spark, recipes, "recipes")
-    groups = recipes.groupBy("rh", "recipe").agg(F.count("*").alias("group_size"),
-                                                 F.max(F.struct("doc_id", "row")).alias("keep"))
+    # A table of its own: the join below then has plain exchanges on both sides,
+    # so that a list shared by very many documents is split over tasks.
+    groups = written(spark, recipes.groupBy("rh", "recipe").agg(
+        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("keep")), "groups")
     return recipes.join(groups, ["rh", "recipe"]).select(
         "row", "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
