@@ -16,7 +16,8 @@ import numpy as np
 from seismerge.llm.common import byte_sums, lower_ascii, space_words, span_hash
 
 TOKENIZER = "word_bpe_49k.json"
-#: Words kept by one Python worker; beyond it the table starts anew.
+#: Words kept by one Python worker. A full table stays as it is, since common
+#: words come early, unless it misses more than half of a slice's words.
 KEPT_WORDS = 400_000
 
 _LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
@@ -36,26 +37,33 @@ class WordEncoder:
         self.index: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1, np.int64)
+        self.kept = 0  # entries that stay; those behind serve the last slice only
 
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """The table entry of each word."""
         distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) > KEPT_WORDS:
-            self.clear()
+        self.start = self.start[:self.kept + 1]
         keys, get = distinct.tolist(), self.index.get
         at = np.fromiter((get(h, -1) for h in keys), np.int64, len(keys))
         new = np.flatnonzero(at < 0)
+        full = self.kept >= KEPT_WORDS
+        if full and 2 * len(new) > len(keys):
+            self.clear()
+            at[:], new, full = -1, np.arange(len(keys)), False
         if len(new):
             raw = data.tobytes()
             texts = [raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
             got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             at[new] = np.arange(len(new)) + (len(self.start) - 1)
-            self.index.update(zip([keys[i] for i in new], at[new].tolist()))
+            if not full:
+                self.index.update(zip([keys[i] for i in new], at[new].tolist()))
             ends = self.start[-1] + np.cumsum([len(g) for g in got])
             while len(self.ids) < ends[-1]:
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[self.start[-1]:ends[-1]] = list(chain.from_iterable(got))
             self.start = np.concatenate([self.start, ends])
+            if not full:
+                self.kept = len(self.start) - 1
         return at[back]
 
     def pieces(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
