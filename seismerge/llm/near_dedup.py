@@ -114,8 +114,10 @@ def full_sets(size: int):
 
 def least_shared(n: Column, k: int, percent: int, miss: float, exact: Column) -> Column:
     """Values of a sketch that a linked partner's sketch must hold: ``exact``
-    where both are whole sets, the estimate's lower bound otherwise."""
-    return F.when(n * 100 <= k * percent, exact).otherwise(F.lit(least_overlap(k, percent, miss))).cast("int")
+    where both are whole sets; where either may be longer, no more than the
+    estimate's lower bound, which holds only for unions of at least ``k``."""
+    return F.when(n * 100 <= k * percent, exact).otherwise(
+        F.least(exact, F.lit(least_overlap(k, percent, miss)))).cast("int")
 
 
 def shared_values(spark: SparkSession, sketches: DataFrame, k: int, percent: int, miss: float) -> DataFrame:

@@ -106,6 +106,17 @@ def test_near_chains(spark, k, long):
     assert got == brute_near(texts, ids)
 
 
+def test_near_truncated_copies_around_the_long_sketch(spark):
+    """Sets of 430 to 520 shingles beside copies cut off at the threshold and just below it."""
+    texts = []
+    for n in range(430, 521, 5):
+        for part, cut in enumerate((-(-85 * n // 100), 86 * n // 100 + 1, 85 * n // 100 - 1)):
+            words = [f"w{n}p{part}i{i}" for i in range(n + 4)]
+            texts += [" ".join(words), " ".join(words[:cut + 4])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup(spark, frame(spark, texts)).collect()}
+    assert got == brute_near(texts, range(len(texts)))
+
+
 def test_near_null_and_repeated_ids(spark):
     text = prose(1, 100)
     rows = near_dedup(spark, frame(spark, [text, text, text + " more", prose(2, 50)], [None, 3, 3, None])).collect()
