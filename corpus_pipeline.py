@@ -25,6 +25,8 @@ from seismerge.llm.packing import pack
 
 #: A language is rejected below this probability.
 LEAST_SCORE = 0.5
+#: Documents of this similarity (percent of shared five-word shingles) or more are near copies.
+NEAR_PERCENT = 80
 
 
 def without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -47,8 +49,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return without(spark, docs, near_dedup(spark, docs).where("not kept"))
+    """One document of each group of near copies (``NEAR_PERCENT``) stays."""
+    return without(spark, docs, near_dedup(spark, docs, percent=NEAR_PERCENT).where("not kept"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,20 @@ def test_stages_on_planted_cases(spark, tmp_path):
     assert left[4] == left[3]
 
 
+def test_near_stage_drops_copies_from_four_fifths_on(spark, tmp_path):
+    """Copies cut off at a similarity of 0.79, 0.80, 0.82 and 0.84, as short and as long sets."""
+    texts = []
+    for n in (100, 500, 600):
+        for percent in (79, 80, 82, 84):
+            words = [f"w{n}p{percent}i{i}" for i in range(n + 4)]
+            texts += [" ".join(words), " ".join(words[:n * percent // 100 + 4])]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = {r.doc_id for r in corpus_pipeline.near_stage(spark, docs, str(tmp_path)).select("doc_id").collect()}
+    # At 600 shingles the pair at the threshold itself is confirmed on full sets.
+    assert left == set(range(len(texts))) - {k for k in range(1, len(texts), 2) if k % 8 != 1}
+
+
 def test_pipeline_without_documents(spark, empty, tmp_path):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
