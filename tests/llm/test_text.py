@@ -213,6 +213,24 @@ def test_lm_counts(spark, awkward, hot):
         assert r.base_score == pytest.approx(base, rel=1e-9) and np.isfinite(r.score) and r.score < 0
 
 
+def test_lm_scores_do_not_depend_on_hot_words(spark, awkward):
+    """Every word's corpus frequency is mixed in, whether it is looked up or joined."""
+    all_hot, few = ({r.doc_id: r.score for r in lm_scores(spark, awkward, most_hot=m).collect()} for m in (1 << 18, 5))
+    assert few == pytest.approx(all_hot, rel=1e-5)
+
+
+def test_lm_subword_counts(spark, awkward):
+    """Subword frequencies are those of all texts."""
+    from seismerge.llm import lm_score as L
+    counts = (awkward.select("text").mapInArrow(L.counter, "word long, text binary, n long")
+              .groupBy("word", "text").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n"))
+    ids, n = L.subword_counts(counts, L.TOKENIZER)
+    every = WordEncoder()
+    raw = [(t or "").translate(_LOWER).encode() for t in awkward_texts()]
+    want, _ = every.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(t) for t in raw]))
+    assert dict(zip(ids.tolist(), n.tolist())) == dict(zip(*(x.tolist() for x in np.unique(want, return_counts=True))))
+
+
 def test_lm_without_training(spark, empty):
     assert lm_scores(spark, empty).count() == 0
     (r,) = lm_scores(spark, frame(spark, ["a b"], [None])).collect()
