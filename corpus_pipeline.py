@@ -38,9 +38,14 @@ def without(spark: SparkSession, docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those whose language stays unclear."""
-    return without(spark, docs, language_id(spark, docs).where(
-        (F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)))
+    """Drops texts without a letter, and those whose language stays unclear.
+    Where no language could be learned (no label, or none outside the held-out
+    rows), only texts without a letter go."""
+    found = written(spark, language_id(spark, docs).select("row", "lang_pred", "score"), "languages")
+    if found.where(F.col("lang_pred") != UNKNOWN).isEmpty():
+        return without(spark, docs, docs.select(numbered(spark).alias("row"), F.col("text").cast("string").alias("text"))
+                       .where(~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))))
+    return without(spark, docs, found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

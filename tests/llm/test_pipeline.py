@@ -54,6 +54,15 @@ def test_near_stage_drops_copies_from_four_fifths_on(spark, tmp_path):
     assert left == set(range(len(texts))) - {k for k in range(1, len(texts), 2) if k % 8 != 1}
 
 
+def test_language_stage_without_labels(spark, tmp_path):
+    """Without a language to learn, only texts without a letter go."""
+    texts = [prose(k, 20) for k in range(6)] + [None, "", "123 ...", "日本語", "é"]
+    frame(spark, texts, langs=[None] * len(texts)).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, str(tmp_path)).select("doc_id").collect()}
+    assert left == set(range(len(texts))) - {6, 7, 8}
+
+
 def test_pipeline_without_documents(spark, empty, tmp_path):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
