@@ -73,3 +73,54 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
  d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+def _crc32(ids: str) -> str:
+    """CTEs ending in crc(id, crc): CRC-32 of the decimal text of ``ids`` (a column ``id``), bit by bit."""
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"""crc_step(id, s, k, bit, c) AS (
+ SELECT id, CAST(id AS VARCHAR), 1, 0, xor(4294967295, ascii(CAST(id AS VARCHAR))) FROM ({ids}) WHERE id IS NOT NULL
+ UNION ALL SELECT id, s, CASE WHEN bit = 8 THEN k + 1 ELSE k END, CASE WHEN bit = 8 THEN 0 ELSE bit + 1 END,
+  CASE WHEN bit = 8 THEN xor(c, ascii(substr(s, k + 1, 1))) ELSE {bit} END
+ FROM crc_step WHERE bit < 8 OR k < length(s)),
+crc AS (SELECT id, xor(4294967295, c) AS crc FROM crc_step WHERE bit = 8 AND k = length(s))"""
+
+
+def _tree(name: str, start: str) -> str:
+    """CTEs of a forest: ``name`` has every node (tree, level, pos, h, n nodes on its level), ``name``_step
+    its siblings before and after it, level by level."""
+    return f"""{name}(tree, level, pos, h, n) AS ({start}
+ UNION ALL SELECT tree, level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 15) // 16
+ FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 16),
+{name}_step AS (SELECT tree, level, pos,
+ coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+ coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+ FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, pos // 16 ORDER BY pos))"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE {_crc32("SELECT DISTINCT doc_id AS id FROM documents")},
+leaf AS (SELECT doc_id, source, {_LEAF.format(text="text")} AS leaf, CASE WHEN crc % 5 = 0 THEN
+ {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+ FROM documents LEFT JOIN crc ON id = doc_id),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+ row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+ count(*) OVER (PARTITION BY source) AS n FROM leaf),
+{_tree("low", "SELECT tree, 0, pos, leaf, n FROM placed")},
+subroot AS (SELECT tree, max(level) AS height, max_by(h, level) AS subroot FROM low GROUP BY tree),
+{_tree("high", "SELECT 0, 0, tree, subroot, count(*) OVER () FROM subroot")},
+path AS (SELECT p.tree, p.pos, level, before, after FROM placed p JOIN low_step s
+  ON s.tree = p.tree AND s.pos = p.pos // CAST(power(16, level) AS BIGINT)
+ UNION ALL SELECT p.tree, p.pos, height + level, before, after FROM placed p JOIN subroot r USING (tree) JOIN high_step s
+  ON s.pos = p.tree // CAST(power(16, level) AS BIGINT)),
+fold(tree, pos, level, x) AS (SELECT tree, pos, 0, coalesce(tampered, leaf) FROM placed
+ UNION ALL SELECT f.tree, f.pos, f.level + 1, sha256(before || x || after) FROM fold f JOIN path p
+  ON p.tree = f.tree AND p.pos = f.pos AND p.level = f.level),
+folded AS (SELECT tree, pos, max_by(x, level) AS folded_root FROM fold GROUP BY tree, pos),
+proof AS (SELECT tree, pos, string_agg(before || after, '' ORDER BY level) AS siblings FROM path GROUP BY tree, pos),
+root AS (SELECT max_by(h, level) AS root FROM high)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroot USING (tree) JOIN folded USING (tree, pos) LEFT JOIN proof USING (tree, pos), root
+"""

@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from seismerge.llm import oracle
+from seismerge.llm.common import id_mod
 from seismerge.llm.decontaminate import decontaminate
 from seismerge.llm.exact_dedup import exact_dedup
 from seismerge.llm.url_filter import url_filter
@@ -27,6 +29,8 @@ from seismerge.llm.repeats import remove_repeats
 
 from seismerge.llm.lm_score import lm_scores
 
+from seismerge.llm.merkle import merkle_manifest
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,6 +77,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(spark, table(spark, sf_dir, "documents"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, documents = merkle_manifest(spark, table(spark, sf_dir, "documents"), id_mod(F.col("doc_id"), 5) == 0)
+    return documents.drop("row", "path")
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
@@ -84,5 +93,6 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_quality": (op10, None),
     "op8_repeats": (op8, None),
     "op3_lm_score": (op3, None),
+    "op12_merkle_manifest": (op12, oracle.MERKLE_MANIFEST),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
