@@ -124,3 +124,27 @@ root AS (SELECT max_by(h, level) AS root FROM high)
 SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM placed JOIN subroot USING (tree) JOIN folded USING (tree, pos) LEFT JOIN proof USING (tree, pos), root
 """
+
+CONVERSATION_TRIE = f"""
+WITH RECURSIVE {_crc32("SELECT DISTINCT conv_id AS id FROM conversations")},
+turns AS (SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+ row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT id AS conv, crc % 4 AS h, (SELECT count(*) FROM turns t WHERE t.conv = id - id % 20 AND pos <= crc % 4) AS taken FROM crc),
+rebuilt AS (SELECT c.conv, pos AS depth, role, text FROM convs c JOIN turns t ON t.conv = c.conv - c.conv % 20 AND pos <= h
+ UNION ALL SELECT c.conv, taken + pos - h, role, text FROM convs c JOIN turns t ON t.conv = c.conv AND pos > h),
+path AS (SELECT conv, 0 AS depth, '' AS node, 0 AS words FROM convs
+ UNION ALL SELECT conv, depth, string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (PARTITION BY conv ORDER BY depth),
+ len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM rebuilt),
+ends AS (SELECT conv, max(depth) AS last FROM path GROUP BY conv),
+nodes AS (SELECT depth, node, min(conv) AS conv, count(*) AS n, any_value(words) AS words,
+ sha256(coalesce(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv) FILTER (depth = last), '')) AS ends_sha256
+ FROM path JOIN ends USING (conv) GROUP BY depth, node),
+linked AS (SELECT v.*, up.node AS up FROM nodes v LEFT JOIN path up ON up.conv = v.conv AND up.depth = v.depth - 1),
+kids AS (SELECT up, depth - 1 AS depth, count(*) AS kids FROM linked WHERE up IS NOT NULL GROUP BY ALL),
+sums AS (SELECT a.depth, a.node, count(*) FILTER (kids IS NULL) AS leaves, sum((n - 1) * v.words) AS saved
+ FROM nodes v JOIN path a ON a.conv = v.conv AND a.depth <= v.depth LEFT JOIN kids k ON k.up = v.node AND k.depth = v.depth GROUP BY ALL)
+SELECT v.conv AS conv_id, v.depth AS depth, p.conv AS parent_conv_id, v.n AS n_convs, coalesce(kids, 0) AS n_children, leaves AS n_leaves,
+ CAST(saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM linked v LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.node = v.up
+LEFT JOIN kids k ON k.up = v.node AND k.depth = v.depth JOIN sums s ON s.depth = v.depth AND s.node = v.node
+"""

@@ -26,19 +26,18 @@ def ranked(spark: SparkSession, table: DataFrame, group: str, order: list[str])
     tells rows apart, for splits to be possible in any case. Null is a group.
     """
     keys = [F.col(c).asc_nulls_first() for c in [group, *order]]
-    sized = written(spark, table.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                    .withColumn("at", F.monotonically_increasing_id()), "sorted")
-    part = F.shiftright("at", PLACE_BITS)
-    runs = sized.groupBy(F.col(group).alias("g"), part.alias("part")).agg(
-        F.min("at").alias("first"), F.count("*").alias("rows"))
-    own = Window.partitionBy("g")
+    part = F.shiftright("ranked_at", PLACE_BITS)
+    at = written(spark, table.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                 .withColumn("ranked_at", F.monotonically_increasing_id()), "sorted")
+    runs = at.groupBy(F.col(group).alias("ranked_group"), part.alias("ranked_part")).agg(
+        F.min("ranked_at").alias("first"), F.count("*").alias("rows"))
+    own = Window.partitionBy("ranked_group")
     runs = written(spark, runs.select(
-        "g", "part", (F.sum("rows").over(own.orderBy("part")) - F.col("rows") - F.col("first")).alias("shift"),
-        F.sum("rows").over(own).alias("size")), "runs")
-    return (sized.withColumn("part_of", part)
-            .join(runs, F.col(group).eqNullSafe(F.col("g")) & (F.col("part_of") == F.col("part")))
-            .withColumn("pos", F.col("at") + F.col("shift"))
-            .drop("at", "part_of", "g", "part", "shift"))
+        "ranked_group", "ranked_part", F.sum("rows").over(own).alias("size"),
+        (F.sum("rows").over(own.orderBy("ranked_part")) - F.col("rows") - F.col("first")).alias("ranked_shift")), "runs")
+    return (at.join(runs, F.col(group).eqNullSafe(F.col("ranked_group")) & (part == F.col("ranked_part")))
+            .withColumn("pos", F.col("ranked_at") + F.col("ranked_shift"))
+            .drop("ranked_at", "ranked_group", "ranked_part", "ranked_shift"))
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:

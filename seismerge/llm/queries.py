@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from seismerge.llm import oracle
 from seismerge.llm.common import id_mod
+from seismerge.llm.conversation_trie import conversation_trie
 from seismerge.llm.decontaminate import decontaminate
 from seismerge.llm.exact_dedup import exact_dedup
 from seismerge.llm.url_filter import url_filter
@@ -82,6 +83,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.drop("row", "path")
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark, table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1, oracle.URL_FILTER),
     "op4_decontamination": (op4, oracle.DECONTAMINATION),
@@ -94,5 +99,6 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_repeats": (op8, None),
     "op3_lm_score": (op3, None),
     "op12_merkle_manifest": (op12, oracle.MERKLE_MANIFEST),
+    "op13_conversation_trie": (op13, oracle.CONVERSATION_TRIE),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
