@@ -1,4 +1,4 @@
-"""The ten registered operator queries, and the pipeline, with their DuckDB
+"""The thirteen registered operator queries, and the pipeline, with their DuckDB
 statements where SQL can express them."""
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from seismerge.llm.common import id_mod
 from seismerge.llm.conversation_trie import conversation_trie
 from seismerge.llm.decontaminate import decontaminate
 from seismerge.llm.exact_dedup import exact_dedup
+from seismerge.llm.license_scan import license_scan
 from seismerge.llm.url_filter import url_filter
 
 from seismerge.llm.near_dedup import near_dedup
@@ -78,6 +79,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(spark, table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(spark, table(spark, sf_dir, "documents")).drop("row", "detections")
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, documents = merkle_manifest(spark, table(spark, sf_dir, "documents"), id_mod(F.col("doc_id"), 5) == 0)
     return documents.drop("row", "path")
@@ -98,6 +103,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_quality": (op10, None),
     "op8_repeats": (op8, None),
     "op3_lm_score": (op3, None),
+    "op11_license_scan": (op11, None),
     "op12_merkle_manifest": (op12, oracle.MERKLE_MANIFEST),
     "op13_conversation_trie": (op13, oracle.CONVERSATION_TRIE),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
