@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..functions.scalar import epoch_us, event_uid, floor_div, iso_utc, source_priority
 from ..schemas import DIST_KM_WINDOW, DM_WINDOW, DT_WINDOW_S, EARTH_RADIUS_KM
 from ..session import written
+from .space_time import space_time_blocks
 
 # Python workers may not have this package on their path (the session can
 # be built by any launcher), so the fold ships by value with its helpers.
@@ -43,18 +44,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCAN_MODES = ("creation_break", "window")
 BUCKETS_PER_BLOCK = 1024
 
-# Reports per piece of a long session, the warm-up before a piece, and the
-# factor that puts a piece's members after those of the pieces before it.
-PIECE_REPORTS, WARM_S, PIECE_ORDINALS = 20_000, 1800.0, 1 << 32
+# Reports per piece of a long block, the warm-up before a piece in time windows,
+# and the factor that puts a piece's members after those of the pieces before it.
+PIECE_REPORTS, WARM_WINDOWS, PIECE_ORDINALS = 20_000, 6, 1 << 32
 
 # Columns the fold reads, and the member columns it passes through so no
 # join back to the reports is needed.
 FOLD_INPUT = ["block", "us", "prio", "source", "event_id", "latitude", "longitude", "magnitude"]
 PASS_THROUGH = ["session", "event_time", "depth_km", "mag_type", "place", "province", "district"]
 
-# Block ids: session * 2^20 + spatial component (0 when not split).
-_BLOCK_SHIFT = 1 << 20
-
 
 def _window_us(dt_window_s: float) -> int:
     return int(round(dt_window_s * 1_000_000))
@@ -244,40 +242,39 @@ def make_piece_fold(dt_window_s: float, dist_km: float, dm: float, scan: str):
     return bound
 
 
-def _piece_table(sessions: DataFrame, w_us: int, piece_reports: int) -> DataFrame:
-    """(session, bucket, piece): sessions cut at bucket borders into pieces of
+def piece_table(reports: DataFrame, w_us: int, piece_reports: int) -> DataFrame:
+    """(block, bucket, piece): blocks cut at bucket borders into pieces of
     about ``piece_reports``. Its size follows the time span, not the reports."""
-    per = sessions.groupBy("session", floor_div(F.col("us"), w_us).alias("bucket")).agg(
+    per = reports.groupBy("block", floor_div(F.col("us"), w_us).alias("bucket")).agg(
         F.count("*").alias("n"), F.min("us").alias("first_us"))
-    ahead = Window.partitionBy("session").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     reached = per.withColumn("at", F.floor(F.coalesce(F.sum("n").over(ahead), F.lit(0)) / piece_reports))
     # Numbered without gaps, also where one bucket holds more than a piece.
-    in_order = Window.partitionBy("session").orderBy("at")
+    in_order = Window.partitionBy("block").orderBy("at")
     return reached.withColumn("piece", F.dense_rank().over(in_order).cast("long") - 1).drop("at")
 
 
 def _walk_in_pieces(r: DataFrame, cols: list[str], piece_of: DataFrame, dt_window_s: float, dist_km: float,
-                    dm: float, scan: str, warm_s: float) -> DataFrame:
-    """Every piece of a long session by its own task, exact by check.
+                    dm: float, scan: str, warm_windows: int) -> DataFrame:
+    """Every piece of a long block by its own task, exact by check.
 
-    Each piece first runs from a warm-up of ``warm_s`` before it. Where the
+    Each piece first runs from a warm-up of some windows before it. Where the
     clusters open at its start then differ from those its predecessor ended
     with, the piece is run again from the predecessor's, until all borders
-    agree. Each round settles at least the first piece that differed, and
-    usually no round is needed, as clusters are short-lived; reports that
-    never let a cluster close for longer than the warm-up need a round per
-    piece they span."""
-    spark, w_us = r.sparkSession, _window_us(dt_window_s)
-    starts = piece_of.groupBy("session", "piece").agg(F.min("bucket").alias("start"), F.min("first_us").alias("start_us"))
-    nxt = starts.select("session", (F.col("piece") - 1).alias("piece"), F.col("start_us").alias("next_us"))
-    pieces = written(spark, starts.join(nxt, ["session", "piece"], "left"), "pieces")
-    warm = max(1, math.ceil(warm_s / dt_window_s))
-    early = pieces.where("piece > 0").select("session", "piece", F.explode(F.sequence(
-        F.col("start") - warm, F.col("start") - 1)).alias("bucket"))
+    agree. Each round settles at least the first piece that differed and walks
+    only those that did; the others stay where they are. Usually few differ,
+    as clusters are short-lived; reports that never let a cluster close need a
+    round per piece they span."""
+    spark, w_us, at = r.sparkSession, _window_us(dt_window_s), ["block", "piece"]
+    starts = piece_of.groupBy(*at).agg(F.min("bucket").alias("start"), F.min("first_us").alias("start_us"))
+    nxt = starts.select("block", (F.col("piece") - 1).alias("piece"), F.col("start_us").alias("next_us"))
+    pieces = written(spark, starts.join(nxt, at, "left"), "pieces")
+    early = pieces.where("piece > 0").select(*at, F.explode(F.sequence(
+        F.col("start") - warm_windows, F.col("start") - 1)).alias("bucket"))
     reports = r.select(*cols).withColumn("bucket", floor_div(F.col("us"), w_us))
-    own = reports.join(piece_of.select("session", "bucket", "piece"), ["session", "bucket"]).withColumn("own", F.lit(True))
-    both = own.unionByName(reports.join(early, ["session", "bucket"]).withColumn("own", F.lit(False)))
-    both = both.join(pieces.select("session", "piece", "start_us", "next_us"), ["session", "piece"]).drop("bucket")
+    own = reports.join(piece_of.select("block", "bucket", "piece"), ["block", "bucket"]).withColumn("own", F.lit(True))
+    both = own.unionByName(reports.join(early, ["block", "bucket"]).withColumn("own", F.lit(False)))
+    both = both.join(pieces.select(*at, "start_us", "next_us"), at).drop("bucket")
     names = cols + ["piece", "cluster_seq", "member_ord", "state_in", "state_out"]
     schema = T.StructType([T.StructField(c, r.schema[c].dataType) for c in cols]
                           + [T.StructField(c, T.LongType()) for c in ("piece", "cluster_seq", "member_ord")]
@@ -285,156 +282,60 @@ def _walk_in_pieces(r: DataFrame, cols: list[str], piece_of: DataFrame, dt_windo
     fold = make_piece_fold(dt_window_s, dist_km, dm, scan)(names)
 
     def run(rows: DataFrame) -> DataFrame:
-        ordered = rows.repartition("block", "piece").sortWithinPartitions("block", "piece", "us", "prio", "source", "event_id")
+        ordered = rows.repartition(*at).sortWithinPartitions(*at, "us", "prio", "source", "event_id")
         return written(spark, ordered.mapInPandas(fold, schema), "walked")
-    done = run(both.withColumn("state", F.lit(None).cast("string")))
+
+    def borders(walked: DataFrame) -> DataFrame:
+        return walked.where("state_in is not null").select(*at, "state_in", "state_out")
+    walked = run(both.withColumn("state", F.lit(None).cast("string")))
+    states, settled = written(spark, borders(walked), "borders"), None
     while True:
-        states = done.where("state_in is not null").select("block", "piece", "state_in", "state_out")
         earlier = states.select("block", (F.col("piece") + 1).alias("piece"), F.col("state_out").alias("state"))
-        differ = (states.join(earlier, ["block", "piece"], "left").where("piece > 0")
-                  .select("block", "piece", "state_in", F.coalesce("state", F.lit("[]")).alias("state"))
-                  .where("state <> state_in").select("block", "piece", "state"))
-        differ = written(spark, differ, "borders")
+        differ = (states.join(earlier, at, "left").where("piece > 0")
+                  .select(*at, "state_in", F.coalesce("state", F.lit("[]")).alias("state"))
+                  .where("state <> state_in").select(*at, "state"))
+        differ = written(spark, differ, "differ")
         if not differ.take(1):
-            return done.where("state_in is null").drop("piece", "state_in", "state_out")
-        again = run(both.where("own").join(differ, ["block", "piece"]))
-        done = written(spark, done.join(differ.select("block", "piece"), ["block", "piece"], "left_anti")
-                       .select(*names).union(again.select(*names)), "walked")
-
-
-def _band_width(i: int, h: float) -> float:
-    """Longitude width (degrees) of the cells of latitude band ``i``."""
-    edge = max(abs(i * h - 90.0), abs((i + 1) * h - 90.0))
-    return h / math.cos(math.radians(min(88.0, edge + h)))
-
-
-def _band_width_col(i, h: float):
-    edge = F.greatest(F.abs(i * F.lit(h) - 90.0), F.abs((i + 1) * F.lit(h) - 90.0))
-    return F.lit(h) / F.cos(F.radians(F.least(F.lit(88.0), edge + h)))
-
-
-def _cell_components(h: float):
-    """mapInPandas body: union-find over the occupied grid cells of each
-    session. Cells are (band i, column j); a cell's neighbours are the cells
-    of bands i-1..i+1 whose longitude span overlaps its own, padded by one
-    cell (longitude wraps). Input is sorted by (session, i, j); a session's
-    cells are buffered until the next session starts, so memory is bounded
-    by the grid, not by the data. A session with a report near a pole or the
-    antimeridian keeps a single block."""
-    def run(batches):
-        def flush(ses, cells, bad):
-            if bad:
-                return pd.DataFrame({"session": [ses] * len(cells), "i": [c[0] for c in cells],
-                                     "j": [c[1] for c in cells], "comp": [0] * len(cells)})
-            idx = {c: k for k, c in enumerate(cells)}
-            parent = list(range(len(cells)))
-
-            def find(a):
-                while parent[a] != a:
-                    parent[a] = parent[parent[a]]
-                    a = parent[a]
-                return a
-            for k, (ci, cj) in enumerate(cells):
-                w = _band_width(ci, h)
-                for di in (-1, 0, 1):
-                    i2 = ci + di
-                    if i2 < 0:
-                        continue
-                    w2 = _band_width(i2, h)
-                    n2 = int(math.ceil(360.0 / w2))
-                    lo = int(math.floor(cj * w / w2)) - 1
-                    hi = int(math.floor((cj + 1) * w / w2)) + 1
-                    for j2 in range(lo, hi + 1):
-                        o = idx.get((i2, j2 % n2))
-                        if o is not None:
-                            ra, rb = find(k), find(o)
-                            if ra != rb:
-                                parent[max(ra, rb)] = min(ra, rb)
-            comp = {}
-            for k, (ci, cj) in enumerate(cells):
-                r = find(k)
-                comp[r] = min(comp.get(r, 1 << 40), ci * 4096 + cj)
-            return pd.DataFrame({"session": [ses] * len(cells), "i": [c[0] for c in cells],
-                                 "j": [c[1] for c in cells],
-                                 "comp": [comp[find(k)] for k in range(len(cells))]})
-        cur, cells, bad = None, [], False
-        for pdf in batches:
-            for ses, ci, cj, b in zip(pdf["session"].tolist(), pdf["i"].tolist(),
-                                      pdf["j"].tolist(), pdf["bad"].tolist()):
-                if ses != cur and cells:
-                    yield flush(cur, cells, bad)
-                    cells, bad = [], False
-                cur = ses
-                bad = bad or bool(b)
-                cells.append((int(ci), int(cj)))
-        if cells:
-            yield flush(cur, cells, bad)
-    return run
-
-
-def spatial_blocks(sessions: DataFrame, link_km: float = 2 * DIST_KM_WINDOW + 10.0) -> DataFrame:
-    """Split sessions into independent blocks for ``scan="window"``.
-
-    In window mode a report only joins a cluster whose newest member is
-    within the time window, and that member is within ``2 * dist_km`` of the
-    report (both lie within ``dist_km`` of the centroid). So reports in
-    different connected components of (same session, grid cells at least
-    ``link_km`` across) never meet. Bands are 1 degree (or more) of
-    latitude; each band's longitude width is widened by 1/cos of the band's
-    own highest latitude, so no global statistic is needed and cells stay
-    fine at low latitudes. Components are labelled per session over the
-    *occupied cells* (bounded by the grid, not by the data), then joined
-    back. Within ``link_km`` of the antimeridian a centroid's longitude can be
-    anywhere, and near a pole (by ten times ``link_km``) longitudes differ
-    widely over short distances, so a session with such a report keeps a
-    single block. Both limits follow ``link_km`` and the report's latitude.
-    """
-    h = max(1.0, link_km / 111.0)
-    i = F.floor((F.col("latitude") + 90.0) / h).cast("int")
-    with_cells = sessions.withColumn("i", i) \
-        .withColumn("j", F.floor((F.col("longitude") + 180.0) / _band_width_col(F.col("i"), h))
-                    .cast("int"))
-    degree_km = math.pi * EARTH_RADIUS_KM / 180
-    to_pole = (90.0 - F.abs(F.col("latitude"))) * degree_km
-    to_edge = (180.0 - F.abs(F.col("longitude"))) * degree_km * F.cos(F.radians("latitude"))
-    bad = (to_pole < 10 * link_km) | (to_edge < 1.1 * link_km)
-    occupied = (with_cells.groupBy("session", "i", "j").agg(F.max(bad.cast("int")).alias("bad"))
-                .repartition("session").sortWithinPartitions("session", "i", "j"))
-    comps = occupied.mapInPandas(_cell_components(h), "session long, i int, j int, comp long")
-    out = with_cells.join(comps, ["session", "i", "j"], "left")
-    return out.withColumn("block", F.col("session") * _BLOCK_SHIFT + F.col("comp")) \
-        .drop("i", "j", "comp")
+            out = walked if settled is None else settled.unionByName(walked)
+            return out.where("state_in is null").drop("piece", "state_in", "state_out")
+        again = differ.select(*at)
+        settled = walked.join(again, at, "left_anti") if settled is None else (
+            settled.unionByName(walked).join(again, at, "left_anti"))
+        walked = run(both.where("own").join(differ, at))
+        states = written(spark, states.join(again, at, "left_anti").unionByName(borders(walked)), "borders")
 
 
 def assign_clusters(sessions: DataFrame, dt_window_s: float = DT_WINDOW_S,
                     dist_km: float = DIST_KM_WINDOW, dm: float = DM_WINDOW,
                     scan: str = "creation_break", num_partitions: int | None = None,
                     spatial_split: bool = True, piece_reports: int | None = PIECE_REPORTS,
-                    warm_s: float = WARM_S) -> DataFrame:
+                    warm_windows: int = WARM_WINDOWS) -> DataFrame:
     """Run the fold. Input: ``time_sessions`` output. Output: one row per
     report with ``block``, ``prio``, ``cluster_seq`` (creation order inside
     the block) and ``member_ord`` (walk order inside the block).
 
-    Blocks are sessions, or for ``scan="window"`` the spatial components of
-    a session (``spatial_blocks``). They are hash-partitioned and each
-    partition is sorted by (block, walk order); ``mapInPandas`` then streams
-    the partition through the fold in Arrow batches, resetting at each block
-    boundary. No per-group pandas frame is built, so many small blocks cost
-    nothing extra and one huge block needs only its open clusters in memory.
-    A session of more than ``piece_reports`` reports is walked in pieces by
-    several tasks, with the same result (``_walk_in_pieces``).
+    Blocks are sessions, or for ``scan="window"`` the components of reports
+    near in time and space (``space_time_blocks``). They are hash-partitioned
+    and each partition is sorted by (block, walk order); ``mapInPandas`` then
+    streams the partition through the fold in Arrow batches, resetting at each
+    block boundary. No per-group pandas frame is built, so many small blocks
+    cost nothing extra and one huge block needs only its open clusters in
+    memory. A block of more than ``piece_reports`` reports is walked in pieces
+    by several tasks, with the same result (``_walk_in_pieces``).
     """
+    spark, w_us = sessions.sparkSession, _window_us(dt_window_s)
+    r = sessions.withColumn("prio", source_priority("source"))
+    cols = FOLD_INPUT + [c for c in PASS_THROUGH if c in r.columns]
+    # Sessions once, as a table: the steps below read it more than once.
+    r = written(spark, r.select(*[c for c in cols if c != "block"]), "sessions")
     if scan == "window" and spatial_split:
-        sessions = spatial_blocks(sessions, 2 * dist_km + 10.0)
+        r = space_time_blocks(r, w_us, 2 * dist_km + 10.0)
     else:
-        sessions = sessions.withColumn("block", F.col("session") * _BLOCK_SHIFT)
-    r = sessions.withColumn("prio", source_priority("source"))
+        r = r.withColumn("block", F.col("session"))
+    if piece_reports and not r.groupBy("block").count().where(F.col("count") > piece_reports).isEmpty():
+        piece_of = written(spark, piece_table(r, w_us, piece_reports), "piece-buckets")
+        return _walk_in_pieces(r, cols, piece_of, dt_window_s, dist_km, dm, scan, warm_windows)
     part = [num_partitions] if num_partitions else []
-    cols = FOLD_INPUT + [c for c in PASS_THROUGH if c in r.columns]
-    if piece_reports:
-        piece_of = written(r.sparkSession, _piece_table(r, _window_us(dt_window_s), piece_reports), "piece-buckets")
-        if piece_of.where("piece > 0").take(1):
-            return _walk_in_pieces(r, cols, piece_of, dt_window_s, dist_km, dm, scan, warm_s)
     ordered = (r.select(*cols)
                .repartition(*part, "block")
                .sortWithinPartitions("block", "us", "prio", "source", "event_id"))

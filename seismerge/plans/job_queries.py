@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.cluster import assign_clusters, cluster_members, time_sessions
 from ..operators.quality import HARMONIZED_REQUIRED, domain_checks, duplicate_keys, not_null_checks, split_quality
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources.archive import archive_sink, raw_sink, scan_archive_table
 from ..sources.documents import SchemaMismatch, strict_schema_check, to_documents
 from ..streaming import logjobs as L
 from ..streaming.tables import DayTable, KeyIndex, SnapshotTable
 from . import oracle as O
-from .pipeline import dedupe_window, fixture_as_of_literal
+from .pipeline import DEDUPE_WINDOW_DAYS, dedupe_window, fixture_as_of_literal
 from .queries import AS_OF_SQL, FB, R, _archive, _bronze, _facts, _silver, ntz, register
 
 ALL_SOURCES = "AFAD,KOERI,EMSC,USGS"
@@ -68,19 +68,30 @@ def q_sync_job(spark, sf):
     return docs.read(spark).select("event_uid", F.col("agreement_level").cast("int").alias("agreement_level"))
 
 
-_WINDOW_SESSIONS = O.SESSIONS.replace("FROM reports WINDOW", "FROM recent WINDOW")
-_RECENT = f"recent AS (SELECT * FROM reports WHERE event_time >= {AS_OF_SQL} - INTERVAL 7 DAY)"
+def _window_sql(days: int) -> str:
+    recent = f"recent AS (SELECT * FROM reports WHERE event_time >= {AS_OF_SQL} - INTERVAL {days} DAY)"
+    return (O.with_ctes(O.REPORTS, recent, O.SESSIONS.replace("FROM reports WINDOW", "FROM recent WINDOW"), O.clusters_cte(), O.FACTS)
+            + "SELECT event_uid, t_min AS event_time, CAST(len(srcs) AS INTEGER) AS agreement_level FROM facts")
 
 
-@register("dedupe_window", O.with_ctes(O.REPORTS, _RECENT, _WINDOW_SESSIONS, O.clusters_cte(), O.FACTS)
-          + "SELECT event_uid, t_min AS event_time, CAST(len(srcs) AS INTEGER) AS agreement_level FROM facts")
-def q_dedupe_window(spark, sf):
-    """C11 over the last seven days."""
-    f = dedupe_window(_silver(spark, sf), fixture_as_of_literal(spark, sf), days=7)
+def _windowed(spark, sf, days: int) -> DataFrame:
+    f = dedupe_window(_silver(spark, sf), fixture_as_of_literal(spark, sf), days=days)
     return f.select("event_uid", ntz("event_time").alias("event_time"),
                     F.col("agreement_level").cast("int").alias("agreement_level"))
 
 
+@register("dedupe_window", _window_sql(DEDUPE_WINDOW_DAYS))
+def q_dedupe_window(spark, sf):
+    """C11 over the job's window, 30 days."""
+    return _windowed(spark, sf, DEDUPE_WINDOW_DAYS)
+
+
+@register("dedupe_window_cutoff", _window_sql(7))
+def q_dedupe_window_cutoff(spark, sf):
+    """C11 over seven days: where the cutoff falls inside the reports."""
+    return _windowed(spark, sf, 7)
+
+
 def _other_thresholds(sql: str) -> str:
     return (sql.replace(str(O.W_US), "30000000").replace("<= 50.0", "<= 120.0")
             .replace("abs(mag - x.smag / x.nm) <= 1.0", "abs(mag - x.smag / x.nm) <= 0.5"))
@@ -120,22 +131,46 @@ def q_violations(spark, sf):
             .unionByName(repeated.agg(F.lit("repeated key").alias("reason"), F.count("*").alias("n_rows"))))
 
 
-_DENSE = """dense AS (SELECT * REPLACE (lo + (us - lo) // 10 AS us) FROM reports, (SELECT min(us) AS lo FROM reports))"""
+#: How many times the report rate, and the reports of a piece.
+RATE, DENSE_PIECE = 40, 500
 
 
-@register("clusters_dense", O.with_ctes(O.REPORTS, _DENSE, O.SESSIONS.replace("FROM reports WINDOW", "FROM dense WINDOW"),
-                                        O.clusters_cte()) + "SELECT source, event_id, cluster_head, cluster_size FROM members")
-def q_dense(spark, sf):
-    """The walk at ten times the report rate, where sessions are long: in
-    pieces of 2,000 reports, each by its own task."""
+def _dense_sql(mode: str) -> str:
+    dense = f"dense AS (SELECT * REPLACE (lo + (us - lo) // {RATE} AS us) FROM reports, (SELECT min(us) AS lo FROM reports))"
+    return O.with_ctes(O.REPORTS, dense, O.SESSIONS.replace("FROM reports WINDOW", "FROM dense WINDOW"),
+                       O.open_clusters_cte(mode)) + "SELECT source, event_id, cluster_head, cluster_size FROM members"
+
+
+def _dense(spark, sf) -> DataFrame:
+    """Sessions at ``RATE`` times the report rate: nearly all reports are one."""
     silver = _silver(spark, sf)
     lo = silver.agg(F.min(F.unix_micros("event_time"))).first()[0] or 0
     us = F.unix_micros("event_time") - F.lit(lo)
-    dense = silver.withColumn("event_time", F.timestamp_micros(F.lit(lo) + F.floor(us / 10)))
-    return cluster_members(assign_clusters(time_sessions(dense), piece_reports=2000)).select(
+    return written(spark, time_sessions(silver.withColumn("event_time", F.timestamp_micros(F.lit(lo) + F.floor(us / RATE)))), "dense")
+
+
+@register("clusters_dense", _dense_sql("creation_break"))
+def q_dense(spark, sf):
+    """The walk in long sessions: in pieces of 500 reports, each by its own
+    task, borders compared and repaired."""
+    s = _dense(spark, sf)
+    if s.groupBy("session").count().agg(F.max("count")).first()[0] <= DENSE_PIECE:
+        raise ValueError("no session is long enough to be cut")
+    return cluster_members(assign_clusters(s, piece_reports=DENSE_PIECE)).select(
         "source", "event_id", "cluster_head", "cluster_size")
 
 
+@register("clusters_dense_window", _dense_sql("window"))
+def q_dense_window(spark, sf):
+    """Window mode in long sessions: blocks of reports near in time and space."""
+    s = _dense(spark, sf)
+    walked = written(spark, assign_clusters(s, scan="window", piece_reports=DENSE_PIECE), "dense-walk")
+    blocks, sessions = (df.distinct().count() for df in (walked.select("block"), s.select("session")))
+    if blocks < 10 * sessions:
+        raise ValueError(f"{sessions} sessions make only {blocks} blocks")
+    return cluster_members(walked).select("source", "event_id", "cluster_head", "cluster_size")
+
+
 @register("strict_schema", FB + """SELECT 'as mapped' AS documents, count(*) AS n_accepted FROM facts
 UNION ALL SELECT 'with a further field', 0 UNION ALL SELECT 'with a text level', 0""")
 def q_strict_schema(spark, sf):

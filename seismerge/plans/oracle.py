@@ -127,6 +127,42 @@ members AS (
 )"""
 
 
+def open_clusters_cte(mode: str = "creation_break") -> str:
+    """The same walk for long sessions: the list holds only clusters that a
+    later report can still reach, and each knows its number."""
+    live = (f"list_filter(cl, lambda x: us - x.tm <= {W_US})" if mode == "window" else
+            f"cl[coalesce(list_max(list_transform(cl, lambda x, j: CASE WHEN us - x.tm > {W_US} THEN j ELSE 0 END)), 0) + 1:]")
+    dist = _hav("lat", "lon", "x.slat / x.n", "x.slon / x.n")
+    cand = (f"list_filter(list_transform(live, lambda x, j: {{'dt': us - x.tm, 'nj': -j, 'j': j, 'ok': {dist} <= 50.0 AND "
+            f"(mag IS NULL OR x.nm = 0 OR abs(mag - x.smag / x.nm) <= 1.0)}}), lambda c: c.ok)")
+    return f"""
+rec(sess, i, cl, made, cidx) AS (
+  SELECT sess, 0::BIGINT,
+         CAST([] AS STRUCT(id BIGINT, tm BIGINT, slat DOUBLE, slon DOUBLE, n BIGINT, smag DOUBLE, nm BIGINT)[]), 0::BIGINT, NULL::BIGINT
+  FROM (SELECT DISTINCT sess FROM s3)
+  UNION ALL
+  SELECT sess, i,
+    CASE WHEN best IS NULL THEN list_append(live, {{'id': made + 1, 'tm': us, 'slat': lat, 'slon': lon, 'n': 1,
+              'smag': coalesce(mag, 0.0), 'nm': CASE WHEN mag IS NULL THEN 0 ELSE 1 END}})
+         ELSE list_transform(live, lambda x, j: CASE WHEN j = best THEN
+              {{'id': x.id, 'tm': greatest(x.tm, us), 'slat': x.slat + lat, 'slon': x.slon + lon, 'n': x.n + 1,
+                'smag': x.smag + coalesce(mag, 0.0), 'nm': x.nm + CASE WHEN mag IS NULL THEN 0 ELSE 1 END}}
+              ELSE x END) END,
+    CASE WHEN best IS NULL THEN made + 1 ELSE made END,
+    CASE WHEN best IS NULL THEN made + 1 ELSE live[best].id END
+  FROM (SELECT *, (list_sort({cand}))[1].j AS best
+    FROM (SELECT *, {live} AS live
+      FROM (SELECT rec.sess, rec.i + 1 AS i, rec.cl, rec.made, s3.us, s3.latitude AS lat, s3.longitude AS lon, s3.magnitude AS mag
+            FROM rec JOIN s3 ON s3.sess = rec.sess AND s3.ord = rec.i + 1)))
+),
+assigned AS (SELECT s3.*, rec.cidx FROM s3 JOIN rec ON rec.sess = s3.sess AND rec.i = s3.ord),
+members AS (
+  SELECT *, first(source || ':' || event_id ORDER BY ord) OVER (PARTITION BY sess, cidx) AS cluster_head,
+         count(*) OVER (PARTITION BY sess, cidx) AS cluster_size
+  FROM assigned
+)"""
+
+
 def iso_utc(col: str) -> str:
     return (f"(strftime({col}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us({col}) % 1000000 <> 0 "
             f"THEN '.' || lpad(CAST(epoch_us({col}) % 1000000 AS VARCHAR), 6, '0') ELSE '' END "

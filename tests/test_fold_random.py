@@ -70,8 +70,8 @@ def test_walk_equals_plain_rule(spark, scan):
     assert got == expect
 
 @pytest.mark.parametrize("scan", ["creation_break", "window"])
-@pytest.mark.parametrize("piece_reports,warm_s", [(40, 1800.0), (25, 90.0), (7, 1.0)])
-def test_pieces_equal_the_whole_walk(spark, scan, piece_reports, warm_s):
+@pytest.mark.parametrize("piece_reports,warm", [(40, 20), (25, 1), (7, 0)])
+def test_pieces_equal_the_whole_walk(spark, scan, piece_reports, warm):
     """One dense session cut into pieces, with warm-ups that suffice and that do not."""
     rnd = random.Random(11)
     rows, t = [], T0
@@ -82,9 +82,9 @@ def test_pieces_equal_the_whole_walk(spark, scan, piece_reports, warm_s):
                      round(29 + rnd.uniform(-0.5, 0.5), 2), 10.0, mag, "ML", None, None, None))
     s = C.time_sessions(reports_df(spark, rows))
     heads = [sorted((r.event_id, r.cluster_head, r.cluster_size) for r in C.cluster_members(C.assign_clusters(
-        s, scan=scan, piece_reports=n, warm_s=warm_s)).collect()) for n in (None, piece_reports)]
+        s, scan=scan, piece_reports=n, warm_windows=warm)).collect()) for n in (None, piece_reports)]
     assert heads[0] == heads[1]
     assert {e: h.split(":")[1] for e, h, _ in heads[1]} == plain(rows, scan)
-    facts = [C.build_facts(C.assign_clusters(s, scan=scan, piece_reports=n, warm_s=warm_s), as_of="2025-02-01") for n in (None, piece_reports)]
+    facts = [C.build_facts(C.assign_clusters(s, scan=scan, piece_reports=n, warm_windows=warm), as_of="2025-02-01") for n in (None, piece_reports)]
     drop = ("cluster_key",)
     assert sorted(map(repr, facts[0].drop(*drop).collect())) == sorted(map(repr, facts[1].drop(*drop).collect()))
