@@ -1,116 +1,82 @@
-"""Command line for the batch and streaming jobs (what the reference runs
-as scheduled tasks). Tables live under ``--root`` as snapshot tables.
+"""Command line for the batch and streaming jobs (what the reference runs as
+scheduled tasks). Tables live under ``--root``.
 
+  python -m seismerge.cli ingest     --root R --landing L [--limits]   (file stream, available-now)
   python -m seismerge.cli replay     --root R --archive A [--sources AFAD,EMSC,USGS]
-  python -m seismerge.cli ingest     --root R --landing L          (file stream, available-now)
-  python -m seismerge.cli harmonize  --root R --as-of TS
-  python -m seismerge.cli dedupe     --root R --as-of TS [--days 30] [--scan window]
-                                     [--touched-since TS]
-  python -m seismerge.cli sync       --root R --as-of TS [--out DIR]
-  python -m seismerge.cli quality    --root R --as-of TS
-  python -m seismerge.cli view       --root R --name latest|disagreement|by_province
-
-Large-table path (append-only raw log, day-partitioned silver/facts/docs):
-
-  python -m seismerge.cli ingest-log    --root R --landing L
-  python -m seismerge.cli harmonize-log --root R --as-of TS
-  python -m seismerge.cli dedupe-days   --root R --as-of TS --touched-since TS
-  python -m seismerge.cli sync-days     --root R --as-of TS
+  python -m seismerge.cli historical --root R --archive A --start D --end D --run NAME [--min-mag 1.0]
+  python -m seismerge.cli harmonize  --root R [--as-of TS] [--max-files N]
+  python -m seismerge.cli dedupe     --root R --as-of TS --run NAME [--days 30] [--scan window] [--touched-since TS]
+  python -m seismerge.cli sync       --root R [--max-files N] [--out DIR]
+  python -m seismerge.cli quality    --root R --as-of TS               (exit code 1 if a check fails)
+  python -m seismerge.cli view       --root R --name latest|disagreement|by_province|...
 """
 
 from __future__ import annotations
 
 import argparse
-import os
+import sys
 
 from .operators import aggregates as A
 from .operators.quality import quality_report
 from .plans import views as V
 from .session import get_spark
-from .sources.documents import to_documents, write_documents
+from .sources.documents import write_documents
 from .streaming import jobs as J
-from .streaming.tables import SnapshotTable
-
-
-def _tables(root: str) -> dict[str, SnapshotTable]:
-    return {n: SnapshotTable(os.path.join(root, n))
-            for n in ("raw", "silver", "facts", "docs", "watermarks")}
-
 
 VIEWS = {"latest": V.latest_events, "disagreement": V.disagreement, "drilldown": V.drilldown,
          "by_province": A.by_province, "agreement": A.agreement_histogram, "agreement_terms": A.agreement_terms,
          "province_ranking": A.province_ranking, "magnitude_over_time": A.magnitude_over_time}
 
 
-def main(argv=None) -> None:
+def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="seismerge")
-    ap.add_argument("job", choices=["replay", "historical", "ingest", "harmonize", "dedupe", "sync", "quality", "view",
-                                    "ingest-log", "harmonize-log", "dedupe-days", "sync-days"])
+    ap.add_argument("job", choices=["ingest", "replay", "historical", "harmonize", "dedupe", "sync", "quality", "view"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--archive")
     ap.add_argument("--landing")
+    ap.add_argument("--limits", action="store_true", help="apply the live magnitude floors, box and response caps")
     ap.add_argument("--sources")
+    ap.add_argument("--start")
+    ap.add_argument("--end")
+    ap.add_argument("--run", default="run")
     ap.add_argument("--as-of")
     ap.add_argument("--days", type=int, default=30)
     ap.add_argument("--scan", default="creation_break")
     ap.add_argument("--touched-since")
+    ap.add_argument("--max-files", type=int)
     ap.add_argument("--out")
     ap.add_argument("--name", default="latest")
     ap.add_argument("--min-mag", type=float, default=1.0)
-    ap.add_argument("--table", choices=["snapshot", "day"], default="snapshot")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
-    t = _tables(a.root)
-    bad = J.Quarantine(os.path.join(a.root, "quarantine"))
-    if a.job.endswith(("-log", "-days")):
-        from .streaming import logjobs as L
-        from .streaming.tables import DayTable, KeyIndex
-        d = {n: DayTable(os.path.join(a.root, "days", n)) for n in ("silver", "facts", "docs")}
-        log = DayTable(os.path.join(a.root, "days", "raw_log"), "ingest_day")
-        if a.job == "ingest-log":
-            J.live_ingest_stream(spark, a.landing, log, os.path.join(a.root, "_log_ckpt"), quarantine=bad) \
-                .awaitTermination()
-        elif a.job == "harmonize-log":
-            print(L.harmonize_from_log(spark, log, d["silver"], KeyIndex(os.path.join(a.root, "days", "keys")),
-                                       t["watermarks"], a.as_of, bad))
-        elif a.job == "dedupe-days":
-            f = L.dedupe_days(spark, d["silver"], d["facts"], a.as_of, a.touched_since or "1970-01-01",
-                              a.days, a.scan)
-            A.agreement_histogram(f).orderBy("agreement_level").show()
-        else:
-            print(L.sync_days(spark, d["facts"], d["docs"], t["watermarks"], a.as_of))
-        return
-    if a.job == "replay":
-        J.replay(spark, a.archive, t["raw"], a.sources, a.as_of, bad)
+    store = J.Store(a.root)
+    if a.job == "ingest":
+        J.ingest(J.landed_files(spark, a.landing, a.max_files), store, J.LIVE if a.limits else None).awaitTermination()
+    elif a.job == "replay":
+        J.replay(spark, J.archived_files(spark, a.archive, a.sources), store)
     elif a.job == "historical":
-        J.historical_load(spark, a.archive, t["raw"], a.min_mag, a.sources, a.as_of, bad)
-    elif a.job == "ingest":
-        J.live_ingest_stream(spark, a.landing, t["raw"], os.path.join(a.root, "_ingest_ckpt"), quarantine=bad) \
-            .awaitTermination()
+        ledger = J.historical_load(spark, J.archived_files(spark, a.archive, a.sources), store, a.start, a.end, a.run, a.min_mag)
+        ledger.orderBy("source", "chunk_start").show(100, truncate=False)
+        return int(not ledger.where("status = 'failed'").isEmpty())
     elif a.job == "harmonize":
-        print(J.harmonize_increment(spark, t["raw"], t["silver"], t["watermarks"], a.as_of, bad))
+        J.harmonize_stream(spark, store, a.as_of, a.max_files).awaitTermination()
     elif a.job == "dedupe":
-        f = J.dedupe_job(spark, t["silver"], t["facts"], a.as_of, a.days, a.scan, a.touched_since)
+        f = J.dedupe_days(spark, store, a.run, a.as_of, a.days, a.touched_since, a.scan)
         A.agreement_histogram(f).orderBy("agreement_level").show()
     elif a.job == "sync":
-        n = J.sync_increment(spark, t["facts"], t["docs"], t["watermarks"], a.as_of)
+        J.sync_stream(spark, store, a.max_files).awaitTermination()
         if a.out:
-            write_documents(to_documents(t["facts"].read(spark)), a.out)
-        print(n)
-    elif a.job in ("quality", "view"):
-        if a.table == "day":
-            from .streaming import logjobs as L
-            from .streaming.tables import DayTable
-            raw = L.raw_view(DayTable(os.path.join(a.root, "days", "raw_log"), "ingest_day").read(spark))
-            silver, f = (DayTable(os.path.join(a.root, "days", n)).read(spark).drop("day") for n in ("silver", "facts"))
-        else:
-            raw, silver, f = (t[n].read(spark) for n in ("raw", "silver", "facts"))
-        if a.job == "quality":
-            quality_report(raw, silver, f, a.as_of).show(truncate=False)
-        else:
-            VIEWS[a.name](f).show(50, truncate=False)
+            write_documents(store.docs.read(spark).drop("day"), a.out)
+    elif a.job == "quality":
+        raw = J.raw_view(store.log.read(spark))
+        report = quality_report(raw, store.silver.read(spark), store.facts.read(spark), a.as_of)
+        report.show(200, truncate=False)
+        return int(not report.where("status = 'fail'").isEmpty())
+    else:
+        VIEWS[a.name](store.facts.read(spark)).show(50, truncate=False)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

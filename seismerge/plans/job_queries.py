@@ -11,8 +11,8 @@ from ..operators.quality import HARMONIZED_REQUIRED, domain_checks, duplicate_ke
 from ..session import scratch_path, written
 from ..sources.archive import archive_sink, raw_sink, scan_archive_table
 from ..sources.documents import SchemaMismatch, strict_schema_check, to_documents
-from ..streaming import logjobs as L
-from ..streaming.tables import DayTable, KeyIndex, SnapshotTable
+from ..schemas import FACT
+from ..streaming import jobs as J
 from . import oracle as O
 from .pipeline import DEDUPE_WINDOW_DAYS, dedupe_window, fixture_as_of_literal
 from .queries import AS_OF_SQL, FB, R, _archive, _bronze, _facts, _silver, ntz, register
@@ -39,33 +39,175 @@ def q_raw_sink(spark, sf):
     return spark.read.parquet(path).select("source", "event_id", F.col("day").cast("string").alias("day"))
 
 
+def _landed(spark, responses: DataFrame, path: str) -> None:
+    """Responses dropped by a fetcher, as files of a table."""
+    responses.select(*J.RESPONSE.names).write.mode("append").parquet(path)
+
+
+def _ingested(spark, sf, store: J.Store, responses: DataFrame, landing: str, limits=None) -> None:
+    _landed(spark, responses, landing)
+    J.ingest(J.landed_table(spark, landing), store, limits).awaitTermination()
+
+
+@register("ingest_job", R + """SELECT source, count(DISTINCT archive_uri) AS n_archived, count(*) AS n_rows,
+  count(*) AS n_linked FROM raw_meta GROUP BY source""")
+def q_ingest_job(spark, sf):
+    """Two landings, the second one's micro-batch tried twice; the
+    responses archived and the raw rows that point to them."""
+    store, landing = J.Store(scratch_path(spark, "store")), scratch_path(spark, "landing")
+    responses = _archive(spark, sf)
+    _ingested(spark, sf, store, responses.where("source <> 'USGS'"), landing)
+    _ingested(spark, sf, store, responses.where("source = 'USGS'"), landing)
+    batches = [r[0] for r in store.archive.read(spark).select("batch").distinct().collect()]
+    J.ingest_batch(responses.where("source = 'USGS'"), max(batches), store)
+    kept = store.archive.read(spark).select("source", "archive_uri", "content")
+    log = store.log.read(spark)
+    linked = log.join(kept.select("archive_uri").distinct(), "archive_uri", "left_semi")
+    return (kept.groupBy("source").agg(F.count("*").alias("n_archived"))
+            .join(log.groupBy("source").agg(F.count("*").alias("n_rows")), "source")
+            .join(linked.groupBy("source").agg(F.count("*").alias("n_linked")), "source"))
+
+
+@register("ingest_limits", R + """,
+inside AS (SELECT *, row_number() OVER (PARTITION BY source, archive_uri ORDER BY event_time DESC, event_id DESC) AS nth FROM raw_meta
+  WHERE coalesce(magnitude, -9) >= CASE source WHEN 'AFAD' THEN 1.0 WHEN 'EMSC' THEN 0.0 WHEN 'USGS' THEN 2.5 ELSE -99 END
+    AND (source NOT IN ('EMSC', 'USGS') OR (latitude BETWEEN 35.5 AND 42.5 AND longitude BETWEEN 25.5 AND 45.0)))
+SELECT source, event_id FROM inside WHERE nth <= CASE source WHEN 'EMSC' THEN 40 WHEN 'USGS' THEN 10 ELSE 1000000 END""")
+def q_ingest_limits(spark, sf):
+    """P15, P16 and O5 in live ingestion: floors, box, the newest 40 (EMSC)
+    and 10 (USGS) of a response."""
+    store = J.Store(scratch_path(spark, "store"))
+    _ingested(spark, sf, store, _archive(spark, sf), scratch_path(spark, "landing"),
+              J.Limits(J.LIVE_MIN_MAG, J.TR_BBOX, {"EMSC": 40, "USGS": 10}))
+    return store.log.read(spark).select("source", "event_id")
+
+
+@register("replay_job", R + """SELECT source, event_id, strftime(received_at, '%Y-%m-%d') AS day FROM raw_meta""")
+def q_replay_job(spark, sf):
+    """The archive replayed twice beside what live ingestion logged."""
+    store = J.Store(scratch_path(spark, "store"))
+    _ingested(spark, sf, store, _archive(spark, sf).where("source <> 'KOERI'"), scratch_path(spark, "landing"))
+    for _ in range(2):
+        J.replay(spark, _archive(spark, sf), store)
+    return J.raw_view(store.log.read(spark)).select("source", "event_id", F.date_format("received_at", "yyyy-MM-dd").alias("day"))
+
+
 @register("harmonize_job", R + f"""SELECT source, event_id, event_time, magnitude,
   CASE WHEN source = 'USGS' THEN TIMESTAMP '{SECOND}' ELSE TIMESTAMP '{FIRST}' END AS harmonized_at FROM raw_meta""")
 def q_harmonize_job(spark, sf):
-    """Two ingests into the raw log, each followed by an increment.
-    USGS joins with the second one, which also repeats all other responses;
-    a repeated report keeps its first payload and time."""
-    log = DayTable(scratch_path(spark, "log"), "ingest_day")
-    silver, keys = DayTable(scratch_path(spark, "silver")), KeyIndex(scratch_path(spark, "keys"))
-    marks = SnapshotTable(scratch_path(spark, "marks"))
+    """Two landings into the raw log, each followed by the stream
+    that harmonizes new log files. USGS joins with the second one, which also
+    repeats all other responses; a repeated report keeps its first payload and
+    time, and the increment tried again changes nothing."""
+    store, landing = J.Store(scratch_path(spark, "store")), scratch_path(spark, "landing")
     responses = _archive(spark, sf)
     for part, at in ((responses.where("source <> 'USGS'"), FIRST), (responses, SECOND)):
-        L.ingest_to_log(part, log, at)
-        L.harmonize_from_log(spark, log, silver, keys, marks, at)
-    return silver.read(spark).select("source", "event_id", ntz("event_time").alias("event_time"), "magnitude",
-                                     ntz("harmonized_at").alias("harmonized_at"))
+        _ingested(spark, sf, store, part, landing)
+        J.harmonize_stream(spark, store, at).awaitTermination()
+    silver = store.silver.read(spark)
+    last = silver.agg(F.max("batch")).first()[0]
+    if last:
+        again = store.log.read(spark)
+        J.harmonize_batch(again.where(F.col("batch") == again.agg(F.max("batch")).first()[0]), last, store, SECOND)
+    return store.silver.read(spark).select("source", "event_id", ntz("event_time").alias("event_time"), "magnitude",
+                                           ntz("harmonized_at").alias("harmonized_at"))
+
+
+@register("bounded_increments", R + """, placed AS (SELECT *, (row_number() OVER (ORDER BY received_at, source, event_id) - 1) // 500 AS increment FROM raw_meta)
+SELECT increment, count(*) AS n_rows, min(received_at) AS first_time, max(received_at) AS last_time,
+  first(source || ':' || event_id ORDER BY received_at, source, event_id) AS first_key FROM placed GROUP BY increment""")
+def q_bounded_increments(spark, sf):
+    """Increments of 500 raw rows by (time of receipt, key); responses
+    received in one minute have equal times across their borders."""
+    rows = J.increments(_bronze(spark, sf).select("received_at", "source", "event_id"), ["received_at", "source", "event_id"], 500)
+    key = F.struct("received_at", "source", "event_id")
+    return rows.groupBy("increment").agg(
+        F.count("*").alias("n_rows"), ntz(F.min("received_at")).alias("first_time"), ntz(F.max("received_at")).alias("last_time"),
+        F.min_by(F.concat_ws(":", "source", "event_id"), key).alias("first_key"))
 
 
 @register("sync_job", FB + """SELECT event_uid, CAST(len(srcs) AS INTEGER) AS agreement_level FROM facts""")
 def q_sync_job(spark, sf):
-    """Facts written in two steps, documents synchronised after each."""
-    facts, docs = DayTable(scratch_path(spark, "facts")), DayTable(scratch_path(spark, "docs"))
-    marks = SnapshotTable(scratch_path(spark, "marks"))
-    gold = _facts(spark, sf).drop("creation", "cluster_key")
-    for part, at in ((gold.where(F.col("agreement_level") > 1), FIRST), (gold, SECOND)):
-        L.merge_facts_days(facts, part, at)
-        L.sync_days(spark, facts, docs, marks, at)
-    return docs.read(spark).select("event_uid", F.col("agreement_level").cast("int").alias("agreement_level"))
+    """Facts logged in two steps, documents synchronised after each, with
+    facts of the first step removed and changed by the second."""
+    store = J.Store(scratch_path(spark, "store"))
+    gold = _facts(spark, sf).select(*FACT.names).withColumn("day", F.to_date("event_time"))
+    several = gold.where("agreement_level > 1").withColumn("gone", F.lit(False))
+    early = several.withColumn("agreement_level", F.lit(1).cast("short")).withColumn("updated_at", F.lit(FIRST).cast("timestamp"))
+    stray = early.where("agreement_level = 1").limit(50).withColumn("event_uid", F.concat(F.lit("stray"), "event_uid"))
+    store.changes.put(early.unionByName(stray), "a")
+    J.sync_stream(spark, store).awaitTermination()
+    now = F.lit(SECOND).cast("timestamp")
+    store.changes.put(gold.withColumn("gone", F.lit(False)).unionByName(stray.withColumn("gone", F.lit(True))).withColumn("updated_at", now), "b")
+    J.sync_stream(spark, store).awaitTermination()
+    return store.docs.read(spark).select("event_uid", F.col("agreement_level").cast("int").alias("agreement_level"))
+
+
+def _late(c):
+    """Reports that come a day late: a seventh of AFAD's."""
+    return (F.col("source") == "AFAD") & (F.crc32("event_id") % 7 == 0)
+
+
+def _late_store(spark, sf) -> J.Store:
+    """Facts and documents of the reports in time, then of the late ones."""
+    store = J.Store(scratch_path(spark, "store"))
+    as_of = fixture_as_of_literal(spark, sf)
+    silver = _silver(spark, sf).withColumn("day", F.to_date("event_time"))
+    late = _late(silver)
+    for part, at, batch in ((silver.where(~late), FIRST, "a"), (silver.where(late), SECOND, "b")):
+        store.silver.put(part.withColumn("harmonized_at", F.lit(at).cast("timestamp")), batch)
+        J.dedupe_days(spark, store, batch, as_of, days=36500, touched_since=FIRST if batch == "b" else None)
+        J.sync_stream(spark, store).awaitTermination()
+    return store
+
+
+@register("late_reports", FB + """SELECT event_uid, t_min AS event_time, CAST(len(srcs) AS INTEGER) AS agreement_level FROM facts""")
+def q_late_reports(spark, sf):
+    """T4 and C11: facts after late reports, re-clustered in the sessions that
+    they touch only, are those of a run over everything; what the first run
+    made of those sessions is gone."""
+    return _late_store(spark, sf).facts.read(spark).select(
+        "event_uid", ntz("event_time").alias("event_time"), F.col("agreement_level").cast("int").alias("agreement_level"))
+
+
+@register("late_documents", FB + """SELECT event_uid, p_source AS preferred_source, CAST(len(srcs) AS INTEGER) AS agreement_level FROM facts""")
+def q_late_documents(spark, sf):
+    """T3 and S10 after late reports: removed facts leave no document."""
+    return _late_store(spark, sf).docs.read(spark).select("event_uid", "preferred_source", "agreement_level")
+
+
+_WEEK = "epoch_us(received_at - lo) // 604800000000"
+
+
+@register("history_job", R + f""",
+span AS (SELECT date_trunc('day', min(received_at)) AS lo, date_trunc('day', max(received_at)) + INTERVAL 1 DAY AS hi FROM raw_meta),
+resp AS (SELECT DISTINCT source, archive_uri, received_at, lo, hi,
+  CASE source WHEN 'AFAD' THEN date_trunc('day', received_at) WHEN 'EMSC' THEN lo + INTERVAL 7 DAY * ({_WEEK}) ELSE lo END AS chunk_start
+  FROM raw_meta, span),
+per AS (SELECT source, archive_uri, count(*) FILTER (
+    coalesce(magnitude, -9) >= CASE source WHEN 'AFAD' THEN 1.0 WHEN 'EMSC' THEN 1.5 WHEN 'USGS' THEN 2.5 ELSE -99 END
+    AND (source NOT IN ('EMSC', 'USGS') OR (latitude BETWEEN 35.5 AND 42.5 AND longitude BETWEEN 25.5 AND 45.0))) AS n
+  FROM raw_meta GROUP BY ALL)
+SELECT source, chunk_start, CAST(sum(n) AS BIGINT) AS n_rows,
+  CASE WHEN source = 'EMSC' AND chunk_start = lo + INTERVAL 7 DAY THEN 'second' ELSE 'first' END AS run
+FROM resp JOIN per USING (source, archive_uri) GROUP BY source, chunk_start, lo""")
+def q_history_job(spark, sf):
+    """History by chunks. One response of EMSC's second
+    week is damaged in the first run, which leaves that chunk out; the second
+    run loads that chunk alone."""
+    store = J.Store(scratch_path(spark, "store"))
+    responses = _archive(spark, sf).select(*J.RESPONSE.names)
+    lo, hi = (r for r in responses.agg(F.date_format(F.min("received_at"), "yyyy-MM-dd"),
+                                       F.date_format(F.date_add(F.max("received_at"), 1), "yyyy-MM-dd")).first())
+    if lo is None:
+        return store.ledger.read(spark).select("source", ntz("chunk_start").alias("chunk_start"), "n_rows", "run")
+    week = F.floor((F.unix_seconds("received_at") - F.unix_seconds(F.lit(lo).cast("timestamp"))) / 604800)
+    broken = responses.where((F.col("source") == "EMSC") & (week == 1)).agg(F.min("archive_uri")).first()[0]
+    damaged = responses.withColumn("content", F.when(F.col("archive_uri") == F.lit(broken), F.lit(b"{no")).otherwise(F.col("content")))
+    J.historical_load(spark, damaged, store, lo, hi, "first")
+    J.historical_load(spark, responses, store, lo, hi, "second")
+    return (store.ledger.read(spark).where("status = 'loaded'")
+            .select("source", ntz("chunk_start").alias("chunk_start"), "n_rows", "run"))
 
 
 def _window_sql(days: int) -> str:
