@@ -15,8 +15,8 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     Each round points every node's larger neighbours at its smallest one, then
     does the same among smaller neighbours, until the edges no longer change.
-    The minimum is aggregated before the shuffle and the join back has one row
-    per node on its right, so that a hub with most of the edges can be split.
+    The minima are tables of their own, so that the join back has plain
+    exchanges on both sides and a hub with most of the edges can be split.
     Every round's edges are a table in the shared folder.
     """
     e = edges.select("a", "b").where("a is not null and b is not null and a <> b")
@@ -28,11 +28,11 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             break
         mark = now
         both = e.union(e.select("b", "a"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = written(spark, both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "star-low")
         large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
         large = written(spark, large, "star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(spark, large.groupBy("a").agg(F.min("b").alias("m")), "star-low")
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))).distinct())
         e = written(spark, small, "star")

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from seismerge.llm.common import byte_sums, lower_ascii, mix, numbered, slices, space_words, span_hash, with_columns, written
 from seismerge.llm.components import connected_components
 
-SHINGLE, SKETCH, LONG, PERCENT, MISS = 5, 64, 512, 85, 1e-9
+SHINGLE, SKETCH, LONG, PERCENT, MISS = 5, 64, 4096, 85, 1e-9
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -75,9 +75,12 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, size: int) -> list[np.ndarra
 def least_overlap(k: int, percent: int, miss: float) -> int:
     """The largest m such that fewer than m of k draws at ``percent`` has at most
     the probability ``miss``."""
+    if percent >= 100:
+        return k
     p, total = percent / 100, 0.0
     for m in range(k + 1):
-        total += math.comb(k, m) * p ** m * (1 - p) ** (k - m)
+        choose = math.lgamma(k + 1) - math.lgamma(m + 1) - math.lgamma(k - m + 1)
+        total += math.exp(choose + m * math.log(p) + (k - m) * math.log(1 - p))
         if total > miss:
             return m
     return k
@@ -147,21 +150,26 @@ def prefix_lists(spark: SparkSession, sketches: DataFrame, k: int, percent: int,
                                       (at <= F.col("kept") - F.col("equal")).alias("index")), "lists")
 
 
-def star_pairs(lists: DataFrame) -> DataFrame:
+def star_pairs(spark: SparkSession, lists: DataFrame) -> DataFrame:
     """Pairs (a, b) of each list's members with its most central one."""
-    centre = lists.groupBy("value").agg(F.min(F.struct("own", "node")).alias("c")).select(
-        "value", F.col("c.node").alias("centre"))
+    # A table of its own, as are the aggregates below: the join then has plain
+    # exchanges on both sides, so that a value of very many nodes is split.
+    centre = written(spark, lists.groupBy("value").agg(F.min(F.struct("own", "node")).alias("c")).select(
+        "value", F.col("c.node").alias("centre")), "centres")
     return lists.join(centre, "value").where("node <> centre").select(
         F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
 def crossing_pairs(lists: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs of a list in different components that may still be linked: sizes
-    close enough, and enough values left after the one they share."""
+    close enough, and enough values left after the one they share. A node's own
+    values come first in its order, so documents that have a third of their
+    shingles in common, but not enough for a link, form no pairs."""
     x = lists.where("index").select("value", *[F.col(c).alias(c + "_x") for c in ("node", "n", "at", "component")])
     y = lists.select("value", *[F.col(c).alias(c + "_y") for c in ("node", "n", "at", "component")])
     left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
-    enough = (F.col("n_y") > k) | (left * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent)
+    exact = left * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent
+    enough = exact | (F.col("n_y") > k)  # longer sets: as far as their prefixes say
     return (x.join(y, ["value"]).where((F.col("component_x") != F.col("component_y")) & enough
                                        & (F.col("n_x") * 100 >= F.col("n_y") * percent)
                                        & ((F.col("n_x") < F.col("n_y"))
@@ -204,22 +212,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
         full_sets(shingle), "node long, items array<long>"), "sets")
     lists = prefix_lists(spark, sets.select("node", F.size("items").cast("long").alias("n"),
                                             F.slice("items", 1, long).alias("sketch")), long, percent, miss)
-    found = links(spark, written(spark, star_pairs(lists), "pairs"), sets, long, percent, miss)
+    found = links(spark, written(spark, star_pairs(spark, lists), "pairs"), sets, long, percent, miss)
     classes = written(spark, connected_components(spark, found), "classes")
     grouped = lists.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = (grouped.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-               .where("x <> y").select("value"))
+    several = written(spark, grouped.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+                      .where("x <> y").select("value"), "several")
     still = written(spark, grouped.join(several, "value", "left_semi"), "open")
     more = links(spark, written(spark, crossing_pairs(still, long, percent), "pairs"), sets, long, percent, miss)
     classes = written(spark, connected_components(spark, found.union(more)), "classes")
-    return labelled(sketches, classes)
+    return labelled(spark, sketches, classes)
 
 
-def labelled(sketches: DataFrame, classes: DataFrame) -> DataFrame:
+def labelled(spark: SparkSession, sketches: DataFrame, classes: DataFrame) -> DataFrame:
     """Component labels back on all documents; an empty set stays by itself."""
     some = sketches.where("n > 0").select("row", "doc_id", "n", "node").join(classes, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    first = some.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    first = written(spark, some.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")), "firsts")
     rows = some.join(first, "component").select("row", "doc_id", "n", F.col("first.doc_id").alias("component_id"),
                                                 (F.col("row") == F.col("first.row")).alias("kept"))
     alone = sketches.where("n = 0").select("row", "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(True))

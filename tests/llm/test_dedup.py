@@ -186,3 +186,22 @@ def test_entries_in_blocks(monkeypatch):
     monkeypatch.setattr(R, "_BLOCK", 333)
     two = R.entries(data, off)
     assert all((one[k] == two[k]).all() for k in one)
+
+
+def test_documents_that_share_much_but_are_not_linked_form_few_pairs(spark, monkeypatch):
+    """600 common and 90 own words: no two are linked (0.77), at any number."""
+    counts = []
+    whole = N.crossing_pairs
+    monkeypatch.setattr(N, "crossing_pairs", lambda *a: (lambda d: (counts.append(d.count()), d)[1])(whole(*a)))
+    common = prose(77, 600, 5000)
+    for n in (50, 100, 200):
+        docs = frame(spark, [common + " " + prose(1000 + k, 90, 100000) for k in range(n)])
+        assert N.near_dedup(spark, docs).where("kept").count() == n
+    assert counts[-1] <= 2 * counts[0] + 50
+
+
+def test_a_hub_can_be_split(spark):
+    """The join back of the star steps has plain exchanges on both sides."""
+    edges = spark.range(1, 3000).selectExpr("0L as a", "id as b")
+    got = connected_components(spark, edges)
+    assert got.count() == 3000 and got.where("component <> 0").isEmpty()
