@@ -3,6 +3,7 @@ folder, contract hashing of ids, and numpy views of Arrow text columns."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,6 +157,16 @@ def with_columns(batch: pa.RecordBatch, keep: list[str], **new) -> pa.RecordBatc
                                       names=keep + list(new))
 
 
+def released() -> None:
+    """Give back what a task's texts needed: a Python worker lives on, and the
+    next stage's tasks need the executor's memory for something else."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def dropped(spark: SparkSession, table: DataFrame) -> None:
     """Delete an intermediate table that nothing reads any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import byte_sums, lower_ascii, mix, numbered, slices, space_words, span_hash, with_columns, written
+from seismerge.llm.common import byte_sums, lower_ascii, mix, numbered, released, slices, space_words, span_hash, with_columns, written
 from seismerge.llm.components import connected_components
 
 SHINGLE, SKETCH, LONG, PERCENT, MISS = 5, 64, 4096, 85, 1e-9
@@ -104,6 +104,7 @@ def sketcher(size: int, k: int):
             sets = shingle_sets(data, off, size)
             yield with_columns(rows, ["row", "doc_id"], n=np.array([len(s) for s in sets], np.int64),
                                node=node_ids(sets), sketch=lists_of([s[:k] for s in sets]))
+        released()
     return run
 
 
@@ -112,6 +113,7 @@ def full_sets(size: int):
         for rows, data, off in slices(batches):
             sets = shingle_sets(data, off, size)
             yield with_columns(rows, [], node=node_ids(sets), items=lists_of(sets))
+        released()
     return run
 
 

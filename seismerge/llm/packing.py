@@ -24,15 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import prepared, slices, with_columns, written
+from seismerge.llm.common import prepared, released, slices, with_columns, written
 from seismerge.llm.subwords import TOKENIZER, encoder
 
 LENGTH, END_ID, BUCKET = 2048, 0, 16384
+#: Text encoded at a time: every byte becomes some eighty bytes of arrays.
+PACK_BYTES = 1 << 20
 
 
 def cut(length: int, tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, off in slices(batches):
+        for rows, data, off in slices(batches, limit=PACK_BYTES):
             ids, bounds = encoder(tokenizer).encode(data, off, END_ID)
             size = np.diff(bounds)
             pieces = -(-size // length)
@@ -45,6 +47,7 @@ def cut(length: int, tokenizer: str):
             crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(at.tolist(), (at + held).tolist())]
             yield with_columns(rows.take(pa.array(doc)), ["doc_id"], piece=piece.astype(np.int32), start=start,
                                length=held, ids_crc32=np.array(crc, np.int64))
+        released()
     return run
 
 
