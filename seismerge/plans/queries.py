@@ -330,19 +330,29 @@ def q_fresh(spark, sf):
         .select("source", F.col("n_rows").cast("bigint"), "silent")
 
 
-@register("row_conservation", R + """SELECT (SELECT count(*) FROM raw_meta) AS raw_rows,
-  (SELECT count(*) FROM raw_meta) AS harmonized_rows, true AS ok""")
+_COUNTS = """counts AS (SELECT count(*) AS raw_rows, count(*) FILTER (event_time IS NOT NULL AND latitude BETWEEN -90 AND 90
+  AND longitude BETWEEN -180 AND 180 AND source IN ('AFAD', 'KOERI', 'EMSC', 'USGS')) AS harmonized_rows FROM raw_meta)"""
+
+
+@register("row_conservation", R + f""", {_COUNTS}
+SELECT 'as loaded' AS tables, *, harmonized_rows <= raw_rows AS ok FROM counts
+UNION ALL SELECT 'harmonized twice', raw_rows, 2 * harmonized_rows, 2 * harmonized_rows <= raw_rows FROM counts""")
 def q_conservation(spark, sf):
-    return A.row_conservation(_bronze(spark, sf), _silver(spark, sf))
+    """A5 on the tables as they are, and on a silver table written twice, which breaks it."""
+    raw, silver = _bronze(spark, sf), _silver(spark, sf)
+    cases = {"as loaded": silver, "harmonized twice": silver.unionAll(silver)}
+    rows = [A.row_conservation(raw, h).withColumn("tables", F.lit(name)) for name, h in cases.items()]
+    return rows[0].unionByName(rows[1])
 
 
-@register("quality_report", FB + f""",
+@register("quality_report", FB + f""", {_COUNTS},
 fr AS (SELECT s.source, coalesce(n, 0) AS n FROM (SELECT unnest(['AFAD', 'KOERI', 'EMSC', 'USGS']) AS source) s
   LEFT JOIN (SELECT source, count(*) AS n FROM raw_meta WHERE received_at > {AS_OF_SQL} - INTERVAL 1 HOUR
              GROUP BY 1) c USING (source))
 SELECT 'sources_seen_recently' AS "check", source AS metric, n AS value,
        CASE WHEN n = 0 THEN 'warn' ELSE 'ok' END AS status FROM fr
-UNION ALL SELECT 'no_orphan_harmonized', 'harmonized_rows', (SELECT count(*) FROM raw_meta), 'ok'
+UNION ALL SELECT 'no_orphan_harmonized', 'harmonized_rows', harmonized_rows,
+  CASE WHEN harmonized_rows <= raw_rows THEN 'ok' ELSE 'fail' END FROM counts
 UNION ALL SELECT 'agreement_distribution', 'level_' || CAST(len(srcs) AS VARCHAR), count(*), 'ok'
   FROM facts WHERE t_min > {AS_OF_SQL} - INTERVAL 24 HOUR GROUP BY len(srcs)""")
 def q_quality(spark, sf):
