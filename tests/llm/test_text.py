@@ -265,3 +265,53 @@ def test_attention_gradient():
         losses.append(-model.log_probabilities(ids, bounds).mean())
         model.train(ids, bounds)
     assert losses[1] < losses[0]
+
+
+def test_attention_gradient_by_differences():
+    """The gradient is that of the mean loss, weight by weight."""
+    from seismerge.llm.attention import TRAINED
+    rng = np.random.default_rng(2)
+    ids, bounds = rng.integers(0, 40, 90), np.array([0, 50, 51, 90])
+    model = Attention(np.bincount(ids, minlength=60), rng.integers(0, 4, 60))
+    model.out += rng.normal(0, 0.5, model.out.shape).astype(np.float32)
+    model.bias += rng.normal(0, 0.5, model.bias.shape).astype(np.float32)
+
+    def loss() -> float:
+        return float(-(model.log_probabilities(ids, bounds) - model.inside[ids]).astype(float).mean())
+    grad = model.gradient(*model.blocks(ids, bounds))
+    for name in TRAINED:
+        weights, want = getattr(model, name), grad[name]
+        for at in np.argsort(-np.abs(want), axis=None)[[0, 3, 9]]:
+            place, step = np.unravel_index(at, want.shape), np.float32(0.02)
+            old = weights[place]
+            sides = []
+            for sign in (1, -1):
+                weights[place] = old + sign * step
+                sides.append(loss())
+            weights[place] = old
+            assert (sides[0] - sides[1]) / (2 * step) == pytest.approx(want[place], rel=0.05, abs=2e-4)
+
+
+def test_lm_weights_are_averaged_by_blocks(spark):
+    """Every partition goes on from the same weights; the mean counts each by
+    its blocks, partitions without text not at all; without any, nothing changes."""
+    from seismerge.llm import lm_score as L
+    from seismerge.llm.attention import Adam
+    split = L.Subwords(L.TOKENIZER)
+    start = Attention(np.ones(split.end + 1), split.traits())
+    parts = [["one fish two fish " * 30], ["red fish blue fish " * 9, "", "old fish"], []]
+    texts = spark.createDataFrame(spark.sparkContext.parallelize(parts, 3).flatMap(lambda p: [(t,) for t in p]), "text string")
+    total, blocks = 0, 0
+    for part in parts[:2]:
+        model = Attention.load(start.save())
+        raw = [t.encode() for t in part]
+        data, off = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(t) for t in raw])
+        _, first_word, first = L.words_of(data, off)
+        ids, bounds, _ = split(data, off, first_word, first)
+        n = Adam(model).sweep(ids, bounds, L.SWEEP, L.SWEEP_RATE)
+        total, blocks = total + n * model.weights().astype(float), blocks + n
+    got = Attention.load(L.averaged(texts, L.TOKENIZER, start.save()))
+    assert np.allclose(got.weights(), total / blocks, atol=1e-5)
+    assert not np.allclose(got.weights(), start.weights(), atol=1e-5)
+    same = Attention.load(L.averaged(texts.where("false"), L.TOKENIZER, start.save()))
+    assert np.array_equal(same.weights(), start.weights())
