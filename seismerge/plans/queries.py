@@ -61,7 +61,7 @@ def _bronze_days(spark, sf):
 
 def _mapped(spark, sf):
     """Canonical rows + received_at/archive_uri/ordinal carried from raw
-    (lazy: read from the bronze table; only the upsert checks use it)."""
+    (lazy: read from the bronze table)."""
     return harmonize(_bronze(spark, sf), as_of=fixture_as_of(spark, sf))
 
 
@@ -392,7 +392,7 @@ def q_disagreement(spark, sf):
 # without a URI; B = reports from min(ts)+10d, pulled an hour later with URI.
 
 def _pulls(spark, sf):
-    m = _mapped(spark, sf)
+    m = _silver(spark, sf)
     lo, hi = _split(spark, sf, 10), _split(spark, sf, 20)
     a = m.where(F.col("event_time") < hi).withColumn("archive_uri", F.lit(None).cast("string"))
     b = m.where(F.col("event_time") >= lo) \
