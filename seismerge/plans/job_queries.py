@@ -10,7 +10,7 @@ from ..operators.cluster import assign_clusters, cluster_members, time_sessions
 from ..operators.quality import HARMONIZED_REQUIRED, domain_checks, duplicate_keys, not_null_checks, split_quality
 from ..session import scratch_path, written
 from ..sources.archive import archive_sink, raw_sink, scan_archive_table
-from ..sources.documents import SchemaMismatch, strict_schema_check, to_documents
+from ..sources.documents import SchemaMismatch, strict_schema_check, take_documents, to_documents
 from ..schemas import FACT
 from ..streaming import jobs as J
 from . import oracle as O
@@ -329,3 +329,28 @@ def q_strict_schema(spark, sf):
         row = taken.agg(F.lit(name).alias("documents"), F.count("*").alias("n_accepted"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@register("refused_documents", FB + """SELECT event_uid,
+  CASE WHEN len(srcs) = 1 THEN CASE p_source WHEN 'AFAD' THEN 'note' WHEN 'KOERI' THEN 'location.alt' WHEN 'EMSC' THEN 'magnitude' ELSE 'agreement_level' END
+       WHEN len(srcs) = 2 THEN CASE p_source WHEN 'AFAD' THEN '$' ELSE 'location.lat' END END AS path,
+  CASE WHEN len(srcs) = 1 THEN CASE p_source WHEN 'AFAD' THEN 'unlisted field' WHEN 'KOERI' THEN 'unlisted field' WHEN 'EMSC' THEN 'not a number' ELSE 'out of range' END
+       WHEN len(srcs) = 2 THEN CASE p_source WHEN 'AFAD' THEN 'not an object' ELSE 'out of range' END END AS reason
+  FROM facts""")
+def q_refused_documents(spark, sf):
+    """S11 for single documents: texts spoiled in six ways by level and source;
+    those of level 3 carry values of any shape below the unindexed field."""
+    level, source = F.col("agreement_level"), F.col("preferred_source")
+    docs = to_documents(_facts(spark, sf)).select("event_uid", level, source, F.to_json(F.struct("*")).alias("document"))
+    text, whole = F.col("document"), r"^\{"
+    spoiled = (F.when((level == 1) & (source == "AFAD"), F.regexp_replace(text, whole, '{"note":1,'))
+               .when((level == 1) & (source == "KOERI"), F.replace(text, F.lit('"location":{'), F.lit('"location":{"alt":1,')))
+               .when((level == 1) & (source == "EMSC"), F.regexp_replace(F.regexp_replace(text, r'^(.*?)"magnitude":[0-9.]+,', "$1"), whole, '{"magnitude":"strong",'))
+               .when(level == 1, F.replace(text, F.lit('"agreement_level":1'), F.lit('"agreement_level":300')))
+               .when((level == 2) & (source == "AFAD"), F.substring(text, 1, 40))
+               .when(level == 2, F.regexp_replace(text, r'"lat":[-0-9.]+', '"lat":123.4'))
+               .when(level == 3, F.replace(text, F.lit('"source_values":{'), F.lit('"source_values":{"any":{"thing":[1,null]},')))
+               .otherwise(text))
+    good, bad = take_documents(docs.withColumn("document", spoiled))
+    return good.select("event_uid", F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select("event_uid", "path", "reason"))
