@@ -7,6 +7,19 @@ _RULE = """(SELECT max_by(struct_pack(rule := r.host || r.path, verdict := r.ver
 _NODE = """CASE WHEN contains({0}, '://') THEN lower(regexp_extract({0}, '^([^#]*?)://', 1, 's')) || '://' || """ + _HOST.format(
     "regexp_extract({0}, '^([^#]*)', 1, 's')") + """ || CASE WHEN regexp_extract(regexp_extract({0}, '^([^#]*)', 1, 's'), '^.*?://[^/?]*(.*)$', 1, 's') = '' THEN '/'
  ELSE regexp_extract(regexp_extract({0}, '^([^#]*)', 1, 's'), '^.*?://[^/?]*(.*)$', 1, 's') END END"""
+_STEPS = "string_split(regexp_extract({0}, '^/([^?#]*)', 1, 's'), '/')"
+_FOLDED = "'/' || array_to_string(list_reduce(list_prepend([]::VARCHAR[], list_transform(" + _STEPS + """, lambda s: [s])),
+  lambda done, s: CASE s[1] WHEN '..' THEN done[:len(done) - 1] WHEN '.' THEN done ELSE done || s END)
+  || CASE WHEN """ + _STEPS + """[-1] IN ('.', '..') THEN [''] ELSE [] END, '/') || regexp_extract({0}, '^[^?#]*(.*)$', 1, 's')"""
+OWN_PATH = _PATH.format("url")
+RESOLVED = f"""CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+ WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+ WHEN starts_with(link, '//') THEN regexp_extract(url, '^(.*?:)//', 1, 's') || link
+ WHEN starts_with(link, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || {_FOLDED.format('link')}
+ WHEN starts_with(link, '#') THEN regexp_extract(url, '^([^#]*)', 1, 's') || link
+ WHEN starts_with(link, '?') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || own || link
+ ELSE regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's')
+  || {_FOLDED.format("(CASE WHEN contains(own, '/') THEN regexp_extract(own, '^(.*/)', 1, 's') ELSE '/' END || link)")} END"""
 
 URL_FILTER = f"""
 WITH RECURSIVE rules(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
@@ -19,9 +32,7 @@ hrefs AS (SELECT url, replace(CASE
  WHEN regexp_matches(tag, '\\brel\\s*=\\s*["'']?[^"''>]*\\bcanonical\\b', 'is') THEN regexp_extract(tag, '\\bhref\\s*=\\s*["'']?\\s*([^"''\\s>]+)', 1, 'is')
  WHEN regexp_matches(tag, '\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b', 'is') THEN regexp_extract(tag, '\\bcontent\\s*=\\s*["'']?[^"''>]*?\\burl\\s*=\\s*[''"]?\\s*([^"''\\s>]+)', 1, 'is')
  END, '&amp;', '&') AS link FROM tags),
-links AS (SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
- WHEN starts_with(link, '//') THEN regexp_extract(url, '^(.*?:)//', 1, 's') || link
- WHEN starts_with(link, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1, 's') || link END AS link FROM hrefs WHERE link <> ''),
+links AS (SELECT url, {RESOLVED} AS link FROM (SELECT *, {OWN_PATH} AS own FROM hrefs) WHERE link <> ''),
 one AS (SELECT {_NODE.format('url')} AS a, {_NODE.format('link')} AS b FROM links),
 edge AS (SELECT a, b FROM one WHERE a <> b UNION SELECT b, a FROM one WHERE a <> b),
 reach(node, other) AS (SELECT a, a FROM edge UNION SELECT r.node, e.b FROM reach r JOIN edge e ON e.a = r.other),

@@ -66,12 +66,30 @@ def node_of(url: Column) -> Column:
                                                 F.when(rest == "", "/").otherwise(rest)))
 
 
+def folded(path: Column) -> Column:
+    """A link's path from the root on, without ``.`` and ``..`` steps (further ones
+    than there are folders stop at the root); query and fragment as they are."""
+    steps = F.split(F.regexp_extract(path, r"(?s)^/([^?#]*)", 1), "/")
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, s: F.when(
+        s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    # A last step within the folder names the folder itself.
+    kept = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.regexp_extract(path, r"(?s)^[^?#]*(.*)$", 1))
+
+
 def resolved(url: Column, link: Column) -> Column:
-    """An absolute, scheme-relative or root-relative link of a page."""
+    """A page's link as an absolute url: absolute, from the scheme, the root, the
+    page's folder or its query on; null for other schemes (``mailto:`` and the like)."""
     origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    own = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_extract(own, r"(?s)^(.*/)", 1)
     return (F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+            .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None)
             .when(link.startswith("//"), F.concat(F.regexp_extract(url, r"(?s)^(.*?:)//", 1), link))
-            .when(link.startswith("/"), F.concat(origin, link)))
+            .when(link.startswith("/"), F.concat(origin, folded(link)))
+            .when(link.startswith("#"), F.concat(F.regexp_extract(url, r"(?s)^([^#]*)", 1), link))
+            .when(link.startswith("?"), F.concat(origin, own, link))
+            .otherwise(F.concat(origin, folded(F.concat(F.when(folder == "", "/").otherwise(folder), link)))))
 
 
 def declared_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

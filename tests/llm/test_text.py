@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from texts import awkward_texts, frame, prose
 
 from seismerge.llm.attention import Attention
@@ -315,3 +316,38 @@ def test_lm_weights_are_averaged_by_blocks(spark):
     assert not np.allclose(got.weights(), start.weights(), atol=1e-5)
     same = Attention.load(L.averaged(texts.where("false"), L.TOKENIZER, start.save()))
     assert np.array_equal(same.weights(), start.weights())
+
+
+def test_links_resolve_like_the_standard_says(spark):
+    """Against the standard library, and the SQL against both."""
+    import duckdb
+    from urllib.parse import urljoin
+
+    from seismerge.llm.oracle import OWN_PATH, RESOLVED
+    from seismerge.llm.url_filter import resolved
+    bases = ["http://h.com", "http://h.com/", "https://H.com/a/b/c.html?q=1/2#f", "http://h.com/a/", "http://h.com/a?x=/y/"]
+    links = ["page.html", "./page", "../x", "../../../x/y", "?id=2", "#top", "/r/../s", "/r/./s/.", "x/..", "..", ".", "a/./b/../c?u=../v#..",
+             "//other.net/p", "ftp://z.net/../q", "x" * 5000 + "/../y", "/", "a//b", "sp%20ace"]
+    rows = [(u, k) for u in bases for k in links]
+    got = {(r.url, r.link): r.to for r in spark.createDataFrame(rows, "url string, link string")
+           .select("url", "link", resolved(F.col("url"), F.col("link")).alias("to")).collect()}
+    for u, k in rows:
+        if "//" not in k:
+            assert got[u, k] == urljoin(u, k), (u, k)
+    # Urls as they are; an empty step is kept (RFC 3986, 5.2.4), which urljoin does not do.
+    assert {got[u, "ftp://z.net/../q"] for u in bases} == {"ftp://z.net/../q"}
+    assert got[bases[1], "a//b"] == "http://h.com/a//b" and got[bases[2], "//other.net/p"] == "https://other.net/p"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (url VARCHAR, link VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows + [(bases[2], "mailto:me@h.com")])
+    sql = {(u, k): to for u, k, to in con.sql(f"SELECT url, link, {RESOLVED} FROM (SELECT *, {OWN_PATH} AS own FROM t)").fetchall()}
+    assert sql.pop((bases[2], "mailto:me@h.com")) is None and sql == got
+    other = spark.createDataFrame([(bases[2], "mailto:me@h.com"), (bases[2], None)], "url string, link string")
+    assert [r[0] for r in other.select(resolved(F.col("url"), F.col("link"))).collect()][0] is None
+
+
+def test_relative_canonical_carries_a_block(spark):
+    pages = spark.createDataFrame([(1, "http://b.com/en/old.html", canonical("../de/new.html")), (2, "http://b.com/en/free.html", canonical("free.html")),
+                                   (3, "http://b.com/de/new.html", None)], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter(spark, pages).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block"}
