@@ -6,6 +6,7 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from seismerge.operators import cluster as C
 from tests.conftest import T0, reports_df
@@ -88,3 +89,39 @@ def test_pieces_equal_the_whole_walk(spark, scan, piece_reports, warm):
     facts = [C.build_facts(C.assign_clusters(s, scan=scan, piece_reports=n, warm_windows=warm), as_of="2025-02-01") for n in (None, piece_reports)]
     drop = ("cluster_key",)
     assert sorted(map(repr, facts[0].drop(*drop).collect())) == sorted(map(repr, facts[1].drop(*drop).collect()))
+
+
+def test_a_report_looks_at_the_clusters_around_it(spark, monkeypatch):
+    """A thousand clusters open at once, far apart: hardly any distance is taken."""
+    taken = []
+    whole = C._surface_km
+    monkeypatch.setattr(C, "_surface_km", lambda *a: taken.append(a) or whole(*a))
+    walk = C._Walk(90_000_000, 50.0, 1.0, True)
+    at = [(lat, lon) for lat in range(-80, 81, 6) for lon in range(-180, 180, 10)]
+    ids = [walk.place(k, *p, 3.0, k) for k, p in enumerate(at + at)]
+    assert ids == 2 * list(range(len(at))) and len(walk.open) == len(at)
+    assert len(taken) < 20 * len(at)
+
+
+def endless(n, every=8):
+    """Reports of places that never rest, so that no cluster closes, and rarer ones between."""
+    rnd = random.Random(5)
+    return [(rnd.choice(list(PRIO)), f"r{i}", T0 + timedelta(seconds=every * i), round(10 + 0.3 * (i % 7) + rnd.uniform(-0.2, 0.2), 3), 20.0, 10.0,
+             round(rnd.uniform(2, 3.4), 1), "ML", None, None, None) for i in range(n)]
+
+
+def test_rounds_grow_with_the_logarithm_of_the_pieces(spark, monkeypatch):
+    rounds = []
+    kept = C.written
+    monkeypatch.setattr(C, "written", lambda spark, df, name: rounds.append(name) or kept(spark, df, name))
+    rows = endless(600)
+    s = C.time_sessions(reports_df(spark, rows))
+    a = C.cluster_members(C.assign_clusters(s, scan="window", piece_reports=10, warm_windows=0))
+    assert {r.event_id: r.cluster_head.split(":", 1)[1] for r in a.collect()} == plain(rows, "window")
+    assert rounds.count("walked") <= 8
+
+
+def test_pieces_last_longer_than_their_warm_up(spark):
+    s = C.time_sessions(reports_df(spark, endless(400))).withColumn("block", F.col("session"))
+    per = C.piece_table(s, 90_000_000, 5, 12).groupBy("piece").count().collect()
+    assert len(per) == 3 and max(r["count"] for r in per) == 12
