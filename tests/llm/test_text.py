@@ -293,6 +293,16 @@ def test_attention_gradient_by_differences():
             assert (sides[0] - sides[1]) / (2 * step) == pytest.approx(want[place], rel=0.05, abs=2e-4)
 
 
+def test_lm_weights_learn_from_every_training_document(spark, monkeypatch):
+    """Only held-out documents are kept from the pass over all partitions."""
+    from seismerge.llm import lm_score as L
+    passed = []
+    monkeypatch.setattr(L, "averaged", lambda texts, tokenizer, saved: passed.extend(r.text for r in texts.collect()) or saved)
+    texts = [f"{w} fish swims" for w in "one two red blue old new sad glad bad thin fat fast slow high low".split()] + [None]
+    rows = lm_scores(spark, frame(spark, texts)).collect()
+    assert sorted(passed) == sorted(texts[r.doc_id] or "" for r in rows if not r.held_out)
+
+
 def test_lm_weights_are_averaged_by_blocks(spark):
     """Every partition goes on from the same weights; the mean counts each by
     its blocks, partitions without text not at all; without any, nothing changes."""
