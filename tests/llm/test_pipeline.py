@@ -80,7 +80,7 @@ def test_oracle(spark, name):
     import duckdb
     fn, sql = REGISTRY[name]
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SMALL, t)}.parquet')")
     got = fn(spark, SMALL)
     want = con.sql(sql)
@@ -91,4 +91,4 @@ def test_oracle(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted({n.split("_")[0] for n in REGISTRY} - {"pipeline"}, key=lambda s: int(s[2:])) == [f"op{k}" for k in range(1, 11)]
+    assert sorted({n.split("_")[0] for n in REGISTRY} - {"pipeline"}, key=lambda s: int(s[2:])) == [f"op{k}" for k in range(1, 14)]
