@@ -1,14 +1,19 @@
 """Work done once: what a job reads, tokenises, shuffles or measures."""
 
+import json
 import tempfile
 from datetime import datetime, timezone
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from seismerge.operators import cluster as C
-from seismerge.sources.parse import parse_koeri_responses
+from seismerge.operators.canonical import harmonize
+from seismerge.operators.quality import quarantine_harmonized
+from seismerge.sources.documents import to_documents
+from seismerge.sources.parse import parse_json_responses, parse_koeri_responses
 from seismerge.sources.testdata import fixture_responses
 from seismerge.streaming import jobs as J
+from seismerge.streaming.tables import BatchTable
 from tests.conftest import ev, reports_df
 
 
@@ -59,3 +64,71 @@ def test_events_are_shuffled_not_the_texts_made_of_them(spark):
     plan = responses._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.index("Generate explode") < plan.index("Exchange")
     assert responses.groupBy("source").count().where("count <> 3").isEmpty()
+
+
+_RAW = "source string, event_id string, payload string, received_at timestamp, archive_uri string, ordinal int"
+
+
+def _afad(uri, ordinal, mag, lat="40.0"):
+    body = f'{{"eventID":1,"date":"2025-01-02T03:04:05","latitude":"{lat}","longitude":"29.0","magnitude":"{mag}"}}'
+    return ("AFAD", f"{uri}-{ordinal}-{mag}", body, None, uri, ordinal)
+
+
+def test_a_report_is_mapped_once(spark):
+    """The checks on mapped columns take them as they are."""
+    good, _ = quarantine_harmonized(harmonize(spark.createDataFrame([_afad("a", 0, 3.0)], _RAW)))
+    checks = [line for line in _plan(good).splitlines() if "Filter" in line]
+    assert checks and not any("_p#" in line for line in checks) and good.first()["magnitude"] == 3.0
+
+
+def test_an_event_id_is_read_once(spark):
+    ids = [{"id": "a", "properties": {"unid": "x"}}, {"id": "", "properties": {"unid": "b"}}, {"properties": {"unid": "c"}}, {"id": ""}]
+    one = spark.createDataFrame([("EMSC", json.dumps({"features": ids}).encode(), None, "u")],
+                                "source string, content binary, received_at timestamp, archive_uri string")
+    rows, _ = parse_json_responses(one)
+    assert _plan(rows).count("$.properties.unid") == 1
+    assert [r.event_id for r in rows.orderBy("ordinal").collect()] == ["a", "b", "c"]
+
+
+def test_limits_map_rows_once(spark):
+    """One mapping and one shuffle; a place goes if nothing mapped there is
+    inside, rows without a place or that cannot be mapped stay."""
+    rows = [_afad("a", 0, 3.0), _afad("a", 1, 0.5), _afad("b", 0, 0.5), _afad("b", 0, 2.0), _afad(None, 0, 0.5),
+            _afad("c", 0, 0.5, lat=""), _afad("d", 0, 0.5), _afad("d", 0, 0.5, lat="")]
+    kept = J.within(spark.createDataFrame(rows, _RAW), J.Limits(J.LIVE_MIN_MAG, J.TR_BBOX, {"EMSC": 1, "AFAD": 2}))
+    assert _plan(kept).count("from_json") == 1 and _plan(kept).count("Repartition") == 1
+    assert sorted((r.archive_uri or "", r.event_id) for r in kept.collect()) == [
+        ("", "None-0-0.5"), ("a", "a-0-3.0"), ("b", "b-0-0.5"), ("b", "b-0-2.0"), ("c", "c-0-0.5")]
+
+
+def test_a_large_day_is_written_by_several_tasks(spark):
+    path, size = tempfile.mkdtemp() + "/t", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    table = BatchTable(path, T.StructType([T.StructField("text", T.StringType())]))
+    was = spark.conf.get(size)
+    spark.conf.set(size, "16k")
+    try:
+        table.put(spark.range(40_000, numPartitions=8).selectExpr("sha1(string(id)) AS text", "date'2025-01-02' AS day"), "a")
+    finally:
+        spark.conf.set(size, was)
+    files = table.read(spark).select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 1 and table.read(spark).count() == 40_000
+
+
+def test_members_are_shuffled_once_to_facts(spark):
+    rows = reports_df(spark, [ev("AFAD", datetime(2025, 1, 10, tzinfo=timezone.utc), 40, 29, 3.0)])
+    members = spark.read.parquet(_saved(C.assign_clusters(C.time_sessions(rows))))
+    plan = C.build_facts(members)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_documents_carry_their_day(spark):
+    """No join of the changes with themselves."""
+    facts = spark.createDataFrame([], J.FACT).withColumn("day", F.to_date("event_time"))
+    docs = to_documents(facts, "day")
+    assert "Join" not in _plan(docs) and docs.columns == [*to_documents(facts).columns, "day"]
+
+
+def _saved(df) -> str:
+    path = tempfile.mkdtemp() + "/t"
+    df.write.parquet(path)
+    return path
