@@ -2,13 +2,14 @@
 
 import json
 import tempfile
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F, types as T
 
 from seismerge.operators import cluster as C
 from seismerge.operators.canonical import harmonize
 from seismerge.operators.quality import quarantine_harmonized
+from seismerge.plans import store
 from seismerge.sources.documents import to_documents
 from seismerge.sources.parse import parse_json_responses, parse_koeri_responses
 from seismerge.sources.testdata import fixture_responses
@@ -121,6 +122,25 @@ def test_members_are_shuffled_once_to_facts(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_reports_are_not_shuffled_to_meet_their_sessions(spark):
+    """Nor are their pieces' warm-ups more than a quarter of what is walked for them."""
+    start = datetime(2025, 1, 10, tzinfo=timezone.utc)
+    rows = spark.read.parquet(_saved(reports_df(spark, [ev("AFAD", start + timedelta(seconds=30 * i), 40, 29, 3.0) for i in range(600)])))
+    s = C.time_sessions(rows)
+    assert "Exchange hashpartitioning" not in s._jdf.queryExecution().executedPlan().toString()
+    pieces = C.piece_table(s.withColumn("block", F.col("session")), 90_000_000, 5, C.PIECE_WARM_UPS * C.WARM_WINDOWS)
+    assert 4 * pieces.select("piece").distinct().count() * C.WARM_WINDOWS <= pieces.count() + 4 * C.WARM_WINDOWS
+
+
+def test_walked_reports_are_written_once(spark):
+    rows = reports_df(spark, [ev("AFAD", datetime(2025, 1, 10, tzinfo=timezone.utc), 40, 29, 3.0)])
+    walked = C.assign_clusters(C.time_sessions(rows), stored=True)
+    assert walked.inputFiles() and "MapInArrow" not in _plan(walked)
+    calls = []
+    layer = [store.frame(spark, "/none", "walked", lambda: calls.append(1) or walked) for _ in range(2)]
+    assert layer == [walked, walked] and len(calls) == 1
+
+
 def test_documents_carry_their_day(spark):
     """No join of the changes with themselves."""
     facts = spark.createDataFrame([], J.FACT).withColumn("day", F.to_date("event_time"))
