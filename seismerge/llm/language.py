@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seismerge.llm.common import held_out, numbered, with_columns
+from seismerge.llm.common import held_out, numbered, released, with_columns
 from seismerge.llm.fitting import class_counts, fitted, stratified
 
 UNKNOWN = "und"
@@ -58,6 +58,7 @@ def document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 seen[:] = False
     at = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[at])], names=["bucket", "n"])
+    released()
 
 
 def features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +141,7 @@ def predictor(classes: list[str], idf: np.ndarray, weights: np.ndarray, heat: fl
                 score.append(float(p[best]))
             yield with_columns(batch, ["row", "doc_id", "held_out"], lang_pred=pa.array(lang, pa.string()),
                                score=pa.array(score, pa.float64()))
+        released()
     return run
 
 

@@ -46,6 +46,8 @@ from seismerge.llm.common import byte_sums, lower_ascii, mix, numbered, released
 from seismerge.llm.components import connected_components
 
 SHINGLE, SKETCH, LONG, PERCENT, MISS = 5, 64, 4096, 85, 1e-9
+#: Text hashed at a time: every byte becomes some sixty bytes of arrays.
+HASH_BYTES = 1 << 18
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -100,7 +102,7 @@ def node_ids(sets: list[np.ndarray]) -> pa.Array:
 
 def sketcher(size: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, off in slices(batches):
+        for rows, data, off in slices(batches, limit=HASH_BYTES):
             sets = shingle_sets(data, off, size)
             yield with_columns(rows, ["row", "doc_id"], n=np.array([len(s) for s in sets], np.int64),
                                node=node_ids(sets), sketch=lists_of([s[:k] for s in sets]))
@@ -110,7 +112,7 @@ def sketcher(size: int, k: int):
 
 def full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, off in slices(batches):
+        for rows, data, off in slices(batches, limit=HASH_BYTES):
             sets = shingle_sets(data, off, size)
             yield with_columns(rows, [], node=node_ids(sets), items=lists_of(sets))
         released()

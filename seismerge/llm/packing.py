@@ -29,7 +29,7 @@ from seismerge.llm.subwords import TOKENIZER, encoder
 
 LENGTH, END_ID, BUCKET = 2048, 0, 16384
 #: Text encoded at a time: every byte becomes some eighty bytes of arrays.
-PACK_BYTES = 1 << 20
+PACK_BYTES = 1 << 19
 
 
 def cut(length: int, tokenizer: str):

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from texts import awkward_texts, frame, prose
 
@@ -205,3 +207,16 @@ def test_a_hub_can_be_split(spark):
     edges = spark.range(1, 3000).selectExpr("0L as a", "id as b")
     got = connected_components(spark, edges)
     assert got.count() == 3000 and got.where("component <> 0").isEmpty()
+
+
+@pytest.mark.parametrize("run", [N.sketcher(5, 64), N.full_sets(5)])
+def test_few_texts_are_hashed_at_a_time(run):
+    """Three workers of one executor share what its heap leaves."""
+    texts = [prose(k, 300) for k in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"row": list(range(1000)), "doc_id": list(range(1000)), "text": texts})
+    assert sum(map(len, texts)) > 1_500_000
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 30_000_000
