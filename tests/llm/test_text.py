@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from texts import awkward_texts, frame, prose
 
-from seismerge.llm.attention import Attention
+from seismerge.llm.attention import TRAINED, Adam, Attention
 from seismerge.llm.decontaminate import decontaminate
 from seismerge.llm.language import UNKNOWN, language_id
 from seismerge.llm.lm_score import lm_scores
@@ -361,3 +361,22 @@ def test_relative_canonical_carries_a_block(spark):
                                    (3, "http://b.com/de/new.html", None)], "page_id long, url string, html string")
     got = {r.page_id: r.verdict for r in url_filter(spark, pages).collect()}
     assert got == {1: "block", 2: "allow", 3: "block"}
+
+
+def test_training_steps_in_place():
+    """The same weights, to the bit, as whole arrays give."""
+    rng = np.random.default_rng(3)
+    model = Attention(rng.integers(1, 500, 20000), rng.integers(0, 4, 20000))
+    steps, m, v = Adam(model), {}, {}
+    want = {n: getattr(model, n).copy() for n in TRAINED}
+    for step in range(1, 4):
+        grad = {n: rng.normal(size=want[n].shape).astype(np.float32) for n in TRAINED}
+        model.gradient = lambda *blocks, grad=grad: grad
+        steps.take(None, None, None, None, 0.01)
+        for n in TRAINED:
+            m[n] = m.get(n, np.zeros_like(want[n]))
+            v[n] = v.get(n, np.zeros_like(want[n]))
+            m[n] += 0.1 * (grad[n] - m[n])
+            v[n] += 0.01 * (grad[n] ** 2 - v[n])
+            want[n] -= (0.01 * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(v[n] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+    assert len(steps.spare[0]) < want["qkv"].size and all((getattr(model, n) == want[n]).all() for n in TRAINED)
