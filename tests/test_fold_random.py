@@ -125,3 +125,46 @@ def test_pieces_last_longer_than_their_warm_up(spark):
     s = C.time_sessions(reports_df(spark, endless(400))).withColumn("block", F.col("session"))
     per = C.piece_table(s, 90_000_000, 5, 12).groupBy("piece").count().collect()
     assert len(per) == 3 and max(r["count"] for r in per) == 12
+
+
+def test_a_long_chain_is_walked_once_with_its_reports(spark, monkeypatch):
+    """Where no cluster ever closes, borders are found on packed numbers; the
+    reports themselves are not walked again for each that was wrong."""
+    names, kept = [], C.written
+    monkeypatch.setattr(C, "written", lambda spark, df, name: names.append(name) or kept(spark, df, name))
+    rows = endless(600)
+    for scan in C.SCAN_MODES:
+        names.clear()
+        a = C.cluster_members(C.assign_clusters(C.time_sessions(reports_df(spark, rows)), scan=scan, piece_reports=10, warm_windows=0))
+        assert {r.event_id: r.cluster_head.split(":", 1)[1] for r in a.collect()} == plain(rows, scan)
+        assert names.count("walked") == 1 and names.count("mended") == 1
+
+
+def test_borders_that_depend_on_one_piece_need_no_chain(spark, monkeypatch):
+    names, kept = [], C.written
+    monkeypatch.setattr(C, "written", lambda spark, df, name: names.append(name) or kept(spark, df, name))
+    rows = [(s, f"{s}{i}", T0 + timedelta(seconds=80 * i), 40.0, 20.0 + 3 * (i % 5), 10.0, 3.0, "ML", None, None, None) for i in range(100) for s in PRIO]
+    C.assign_clusters(C.time_sessions(reports_df(spark, rows)), piece_reports=40, warm_windows=1)
+    assert names.count("borders") == 2 and "mended" not in names
+
+
+@pytest.mark.parametrize("scan", ["creation_break", "window"])
+def test_repeated_keys_in_pieces(spark, scan):
+    """Reports with one key that open clusters of their own stay apart."""
+    rows = [("AFAD", f"r{i % 3}", T0 + timedelta(seconds=60 * i), 10.0 + 2 * (i % 4), 20.0, 10.0, None if i % 5 == 0 else 3.0, "ML", None, None, None)
+            for i in range(120)]
+    s = C.time_sessions(reports_df(spark, rows))
+    sizes = [sorted(C.assign_clusters(s, scan=scan, piece_reports=n, warm_windows=0).groupBy("block", "cluster_seq").agg(
+        F.min("us"), F.max("us"), F.count("*"), F.min("latitude"), F.max("latitude")).drop("block", "cluster_seq").collect()) for n in (None, 10)]
+    assert sizes[0] == sizes[1]
+
+
+def test_the_packed_walk_gives_up_empty_cells(spark):
+    """Limits so short that every report has a cell of its own; reports without a place too."""
+    rnd = random.Random(3)
+    rows = [("AFAD", f"r{i}", T0 + timedelta(milliseconds=i), math.nan if i % 97 == 0 else rnd.uniform(-89, 89), rnd.uniform(-180, 180), 10.0,
+             None if i % 7 == 0 else rnd.uniform(1, 6), "ML", None, None, None) for i in range(70_000)]
+    s = C.time_sessions(reports_df(spark, rows), 0.5)
+    got = [sorted((r[0], r[1]) for r in C.assign_clusters(s, 0.5, 20.0, piece_reports=n).groupBy("block", "cluster_seq").agg(
+        F.min("event_id"), F.count("*")).drop("block", "cluster_seq").collect()) for n in (None, 9_000)]
+    assert got[0] == got[1]
