@@ -152,3 +152,38 @@ def _saved(df) -> str:
     path = tempfile.mkdtemp() + "/t"
     df.write.parquet(path)
     return path
+
+
+def test_an_increment_writes_payloads_of_refused_rows_only(spark, monkeypatch):
+    """Neither the increment nor its known rows are written with their payloads;
+    what is refused keeps its own, with the reason."""
+    names, kept = {}, J.written
+    monkeypatch.setattr(J, "written", lambda s, df, name: names.setdefault(name, kept(s, df, name)))
+    store = J.Store(tempfile.mkdtemp() + "/store")
+    rows = spark.createDataFrame([_afad("a", 0, 3.0), _afad("a", 1, 2.0), _afad("a", 1, 2.0), _afad("b", 0, 1.0, lat="")], _RAW)
+    J.harmonize_batch(rows, "x", store, "2025-02-01")
+    assert [n for n, df in names.items() if "payload" in df.columns] == ["harmonized"]
+    assert sorted((r.event_id, r.payload is None, r.reason) for r in names["harmonized"].collect()) == [
+        ("a-0-3.0", True, None), ("a-1-2.0", True, None), ("b-0-1.0", False, "cannot be mapped")]
+    assert store.silver.read(spark).count() == 2 and store.rejected.read(spark).first()["payload"] == rows.collect()[3]["payload"]
+    names.clear()
+    J.harmonize_batch(rows, "y", store, "2025-02-02")
+    assert names["known-keys"].count() == 3 and names["harmonized"].isEmpty() and store.silver.read(spark).count() == 2
+
+
+def test_rows_of_archived_responses_are_not_shuffled_to_the_log(spark, monkeypatch):
+    plans, kept = {}, BatchTable._write
+
+    def write(table, df, dealt=False):
+        plans[table.path.rsplit("/", 1)[1]] = dealt
+        kept(table, df, dealt)
+    monkeypatch.setattr(BatchTable, "_write", write)
+    store = J.Store(tempfile.mkdtemp() + "/store")
+    body = json.dumps([{"eventID": k, "date": "2025-01-02T03:04:05", "latitude": "40", "longitude": "29"} for k in range(3)]).encode()
+    one = spark.createDataFrame([("AFAD", f"s3a://x/{k}.json", datetime(2025, 1, k + 1, tzinfo=timezone.utc), body) for k in range(3)], J.RESPONSE)
+    J.ingest_batch(one, "a", store)
+    assert plans == {"archive": False, "raw_log": True, "rejected": False}
+    files = store.log.read(spark).select(F.input_file_name().alias("f"))
+    assert files.count() == 9 and files.distinct().count() == 3 and all(".zstd." in r.f for r in files.collect())
+    J.ingest_batch(one, "b", store, J.Limits())  # limits deal rows by response
+    assert plans["raw_log"] is False
