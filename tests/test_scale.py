@@ -187,3 +187,16 @@ def test_rows_of_archived_responses_are_not_shuffled_to_the_log(spark, monkeypat
     assert files.count() == 9 and files.distinct().count() == 3 and all(".zstd." in r.f for r in files.collect())
     J.ingest_batch(one, "b", store, J.Limits())  # limits deal rows by response
     assert plans["raw_log"] is False
+
+
+def test_touched_sessions_are_written_once(spark, monkeypatch):
+    """The walk reads the table that the touched sessions stand in."""
+    names, kept = [], C.written
+    for module in (J, C):
+        monkeypatch.setattr(module, "written", lambda s, df, name: names.append(name) or kept(s, df, name))
+    store = J.Store(tempfile.mkdtemp() + "/store")
+    rows = reports_df(spark, [ev("AFAD", datetime(2025, 1, 10, 12, 0, k, tzinfo=timezone.utc), 40, 29, 3.0) for k in range(3)])
+    store.silver.put(rows.withColumn("archive_uri", F.lit("u")).withColumn("harmonized_at", F.lit("2025-01-11").cast("timestamp"))
+                     .withColumn("day", F.to_date("event_time")), "a")
+    assert J.dedupe_days(spark, store, "a", "2025-01-12").count() == 1
+    assert names.count("touched") == 1 and "sessions" not in names
